@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,18 +15,21 @@ def label_time(label: Column) -> Column:
     return F.coalesce(F.timestamp_millis(label.try_cast("bigint")), F.try_to_timestamp(label))
 
 
-def messages(raw: DataFrame, payload: str = "payload", label: str = "timestamp_ms") -> DataFrame:
-    """``(payload, event_ts)`` out of any source, batch or streaming, that
-    delivers a payload and a time label."""
+def messages(raw: DataFrame, payload: str = "payload", label: str = "timestamp_ms",
+             keep: Sequence[str] = ()) -> DataFrame:
+    """``(payload, event_ts)`` and the columns of ``keep``, out of any source, batch
+    or streaming, that delivers a payload and a time label."""
     return raw.select(
+        *keep,
         F.col(payload).cast("string").alias("payload"),
         label_time(F.col(label).cast("string")).alias("event_ts"),
     )
 
 
-def message_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def message_stream(spark: SparkSession, path: str, schema: str = MESSAGE_SCHEMA,
+                   keep: Sequence[str] = (), max_files: int | None = None) -> DataFrame:
     """Messages from a folder that Parquet files keep arriving in."""
-    reader = spark.readStream.schema(MESSAGE_SCHEMA)
+    reader = spark.readStream.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return messages(reader.parquet(path))
+    return messages(reader.parquet(path), keep=keep)
