@@ -44,6 +44,11 @@ SUFFIX_FORMATS = {
 }
 
 
+def floor_div(value: Column, by: int) -> Column:
+    """Whole-number division towards minus infinity, exact for results below 2**53."""
+    return ((value - F.pmod(value, F.lit(by))) / F.lit(by)).cast("bigint")
+
+
 @dataclass(frozen=True)
 class WindowSize:
     """``count`` units of ``minute``, ``hour``, ``day`` or ``month``."""

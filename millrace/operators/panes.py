@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.windows import WindowSize, pane_path, window_for
+from millrace.functions.windows import WindowSize, floor_div, pane_path, window_for
 from millrace.operators.ordering import number_by_range, number_by_slot
 from millrace.session import settled
 
@@ -47,7 +47,7 @@ def assign_panes(
     width = max(1, -(-size.longest_micros // SLOTS_PER_WINDOW))
     offset = F.unix_micros(event_ts) - F.unix_micros(F.col("window")["start"])
     slotted = rows.withColumn("_ws", F.col("window")["start"]).withColumn(
-        _SLOT, F.floor(offset / F.lit(width))
+        _SLOT, floor_div(offset, width)
     )
     # Reads the event time only; settled because three steps below read it.
     counts = settled(slotted.groupBy("_ws", _SLOT).agg(F.count(F.lit(1)).alias(_N)))
@@ -56,7 +56,7 @@ def assign_panes(
         ranked = number_by_slot(slotted, ["_ws"], _SLOT, by, counts, _RANK, _TOTAL)
     else:
         ranked = number_by_range(slotted, ["_ws"], by, _RANK, _TOTAL)
-    pane = F.floor((F.col(_RANK) - 1) / F.lit(pane_size))
+    pane = floor_div(F.col(_RANK) - 1, pane_size)
     full = (F.col("pane_index") + 1) * F.lit(pane_size) <= F.col(_TOTAL)
     return (
         ranked.withColumn("pane_index", pane)
@@ -109,7 +109,7 @@ def classify_timing(
         df.where(F.col(event_ts).isNotNull() & F.col(arrival).isNotNull())
         .withColumn("window", window_for(F.col(event_ts), size))
         .withColumn("_at", at)
-        .withColumn("_second", F.floor(at / F.lit(1_000_000)))
+        .withColumn("_second", floor_div(at, 1_000_000))
     )
     # One row per second of arrival: read three times, so settled.
     seconds = settled(
@@ -143,7 +143,7 @@ def _max_before_second(seconds: DataFrame) -> DataFrame:
     Two levels: a task adds up the 86,400 seconds of a day; the days themselves,
     365 rows for a year of arrivals however many rows arrived, need no split.
     """
-    rows = seconds.withColumn("_day", F.floor(F.col("_second") / F.lit(86_400)))
+    rows = seconds.withColumn("_day", floor_div(F.col("_second"), 86_400))
     past = (Window.unboundedPreceding, -1)
     by_day = rows.groupBy("_day").agg(F.max("_max").alias("_max")).select(
         "_day", F.max("_max").over(Window.orderBy("_day").rowsBetween(*past)).alias("_day_before")

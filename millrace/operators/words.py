@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.words import word_colon_length, word_pieces, word_with_length
+from millrace.functions.words import word_colon_length, word_with_length, words_in
 
 ABOVE = "above"
 BELOW = "below"
@@ -16,8 +16,7 @@ ALL = "all"
 
 def tokenize(lines: DataFrame, text: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """One row per word of ``text``; ``keep`` names columns to carry along."""
-    pieces = F.explode(word_pieces(F.col(text))).alias("word")
-    return lines.select(*keep, pieces).where(F.col("word") != "")
+    return lines.select(*keep, F.explode(words_in(F.col(text))).alias("word"))
 
 
 def with_length(words: DataFrame) -> DataFrame:
