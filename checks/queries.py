@@ -296,7 +296,7 @@ def on_error_drop(spark, sf_dir):
 
 @query
 def on_error_drop_count(spark, sf_dir):
-    return json_messages(spark, sf_dir, damaged=True).agg(rows.bad_payloads(F.col("payload")))
+    return json_messages(spark, sf_dir, damaged=True).agg(rows.bad_payloads("payload"))
 
 
 @query

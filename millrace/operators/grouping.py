@@ -60,18 +60,17 @@ def _with_part(keyed: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | Non
     if crowded is None:
         return keyed.withColumn("part", F.lit(0)).withColumn(_PARTS, F.lit(0)), None
     keys, small = crowded
-    # By position, not by content: the records of a hot key may all be copies of
-    # one record.  Taken right on the scan, a position is the same again when a
-    # lost task is run anew.
-    placed = keyed.withColumn("_at", F.xxhash64(F.monotonically_increasing_id()))
-    joined = placed.alias("r").join(
+    # Not by content: the records of a hot key may all be copies of one record.
+    # A seeded draw, made right on the scan, is the same again when a lost task
+    # reads its rows anew.
+    joined = keyed.withColumn("_draw", F.rand(0)).alias("r").join(
         (F.broadcast(keys) if small else keys).alias("c"),
         F.col("r.key").eqNullSafe(F.col("c.key")),
         "left",
     )
     parts = F.coalesce(F.col(_PARTS), F.lit(0))
-    part = F.when(parts == 0, 0).otherwise(1 + F.pmod("_at", parts)).cast("int")
-    return joined.select("r.*", part.alias("part"), parts.alias(_PARTS)).drop("_at"), keys
+    part = F.when(parts == 0, 0).otherwise(1 + F.floor(F.col("_draw") * parts)).cast("int")
+    return joined.select("r.*", part.alias("part"), parts.alias(_PARTS)).drop("_draw"), keys
 
 
 def group_by_key(
@@ -83,8 +82,8 @@ def group_by_key(
     """``(key, part, records)``: all records per key, order undefined.
 
     ``values`` names the fields wanted later; nothing else is shuffled.  ``df``
-    should come straight from a scan or a checkpoint, so that positions in it
-    are stable.
+    should come straight from a scan or a checkpoint, so that the draw that cuts a
+    hot key can be repeated.
     """
     keyed = df.select(F.col(key).alias("key"), F.struct(*values).alias(_RECORD))
     parted, _ = _with_part(keyed, max_group_rows)

@@ -52,7 +52,7 @@ def parse_payload(df: DataFrame, payload: str = "payload", on_error: str = "rais
     return df.select("*", once).where(F.col(parsed).isNotNull())
 
 
-def bad_payloads(df: DataFrame, payload: str = "payload") -> Column:
+def bad_payloads(payload: str = "payload") -> Column:
     """An aggregate counting what ``drop`` leaves out, for ``df.observe`` or ``agg``."""
     return F.count_if(F.from_json(F.col(payload), _MAP).isNull()).alias("dropped")
 
