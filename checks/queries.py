@@ -17,6 +17,7 @@ from checks.inputs import (
     late_arrivals,
     lines,
     ntz,
+    shard_count,
     table,
 )
 from checks.replay import replay
@@ -35,7 +36,7 @@ from millrace.functions.windows import (
 )
 from millrace.operators import grouping, panes, rows, words
 from millrace.operators.windows import with_shard_table, with_typed_window, with_window
-from millrace.plans import account_blocks, pane_files, window_tables, word_report
+from millrace.plans import account_blocks, fixed_tables, pane_files, window_tables, word_report
 from millrace.session import scratch_path
 from millrace.sinks import files
 from millrace.sources.schema import load_schema, schema_from_json
@@ -366,6 +367,23 @@ def sink_table_append(spark, sf_dir):
     return _plain(spark.read.parquet(path))
 
 
+@query
+def denylist_table(spark, sf_dir):
+    path = scratch_path(spark, "denylist")
+    sent = json_messages(spark, sf_dir, damaged=True, denied=True)
+    fixed_tables.append_denylist(sent, path, SCHEMA, process_ts=_process_ts())
+    columns = [f.name for f in SCHEMA.fields if f.name not in ("ProcessWindow", "EventTimestamp")]
+    return _plain(spark.read.parquet(path).select(*columns))
+
+
+@query
+def required_table(spark, sf_dir):
+    path = scratch_path(spark, "required")
+    sent = with_window(json_messages(spark, sf_dir, damaged=True), "event_ts", hours(1))
+    fixed_tables.append_required(sent, path, process_ts=_process_ts())
+    return _plain(spark.read.parquet(path))
+
+
 @query
 def sink_table_per_window(spark, sf_dir):
     path = scratch_path(spark, "by-window")
@@ -587,7 +605,10 @@ def trig_watermark(spark, sf_dir):
 
 DAY_MS = 86_400_000
 NEVER_MS = 10**15
-SHARDS = 4
+
+
+def _shard_of(spark: SparkSession, sf_dir: str) -> Column:
+    return F.pmod(F.col("event_id"), F.lit(shard_count(spark, sf_dir)))
 
 
 def _stream_panes(spark: SparkSession, sf_dir: str, early: Trigger | None, late: Trigger | None) -> DataFrame:
@@ -595,7 +616,7 @@ def _stream_panes(spark: SparkSession, sf_dir: str, early: Trigger | None, late:
     def start(sent, target, checkpoint):
         cut = stream_panes(
             sent, "event_ts", days(1), DAY_MS, early, late,
-            shards=F.pmod(F.col("event_id"), F.lit(SHARDS)),
+            shards=_shard_of(spark, sf_dir),
         )
         return cut.writeStream.outputMode("append").format("parquet").option(
             "path", target
@@ -643,7 +664,7 @@ def pane_files_stream(spark, sf_dir):
     def start(sent, target, checkpoint):
         return pane_files.writer(
             sent, target, checkpoint, size=days(1), allowed_lateness_ms=DAY_MS, pane_elements=20,
-            late_delay_ms=NEVER_MS, shards=F.pmod(F.col("event_id"), F.lit(SHARDS)),
+            late_delay_ms=NEVER_MS, shards=_shard_of(spark, sf_dir),
         )
 
     read = spark.read.text(replay(spark, sf_dir, start, late=True)).where(F.col("value") != "{}")

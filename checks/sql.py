@@ -212,7 +212,7 @@ FROM met
 ACCEPTED = """
 WITH sent AS (
   SELECT event_id, date_trunc('milliseconds', ts) AS event_ts, date_trunc('day', ts) AS window_start,
-    event_id % 4 AS shard,
+    event_id % greatest(4, (SELECT count(*) FROM events) // 50000) AS shard,
     least((date_diff('day', TIMESTAMP '2024-01-01', ts) +
       CASE WHEN event_id % 3 = 0 THEN 3 ELSE 0 END) // 11, 2) AS turn
   FROM events
@@ -331,6 +331,9 @@ FROM ({FINANCE}) GROUP BY 1""",
     "on_error_drop_count": "SELECT count(*) AS dropped FROM events WHERE event_type = 'error'",
     "json_project_denylist": DENYLIST,
     "json_project_required": REQUIRED,
+    "denylist_table": "SELECT * EXCLUDE (ProcessWindow, EventTimestamp) FROM "
+                      f"({messages(where=GOOD)})",
+    "required_table": REQUIRED,
     "null_literal_to_empty": f"SELECT event_id, {scenario(chr(39) * 2)} AS ScenarioName FROM events",
     "meta_event_ts": "SELECT event_id AS FinanceKey, date_trunc('milliseconds', ts) AS EventTimestamp FROM events",
     "meta_process_window": f"SELECT event_id AS FinanceKey, {window_text('5 minutes', 'ts')} AS ProcessWindow FROM events",

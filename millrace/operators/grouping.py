@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_GROUP_ROWS = 1_000_000
+MAX_GROUP_ROWS = 200_000
 # A hot key stands for more than max_group_rows records, so there are few of
 # them; up to this many are sent to the executors, more are joined by shuffle.
 MAX_BROADCAST_KEYS = 100_000

@@ -56,7 +56,10 @@ def number_by_range(df: DataFrame, group: Sequence[str], order: Sequence[str],
         .drop(_ROW)
     )
     placed = settled(laid_out)
-    pieces = placed.groupBy(*group, _PIECE).agg(F.count(F.lit(1)).alias(_N), F.min(_AT).alias(_FIRST))
+    # One row per partition and group in it, so small that it is mostly broadcast.
+    pieces = settled(
+        placed.groupBy(*group, _PIECE).agg(F.count(F.lit(1)).alias(_N), F.min(_AT).alias(_FIRST))
+    )
     earlier = Window.partitionBy(*group).orderBy(_PIECE).rowsBetween(Window.unboundedPreceding, -1)
     before = pieces.select(*group, _PIECE, _FIRST, _sum_before(earlier), _sum_all(group, total))
     position = F.col(_BEFORE) + F.col(_AT) - F.col(_FIRST) + 1

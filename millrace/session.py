@@ -22,14 +22,12 @@ def shared_root(spark: SparkSession) -> str:
     Only a local session may fall back to a folder of its own: on a cluster a
     machine-local folder would be lost with its machine.
     """
-    context = spark.sparkContext
-    root = spark.conf.get(_CHECKPOINT_CONF, None) or context.getCheckpointDir()
+    root = spark.conf.get(_CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_CHECKPOINT_CONF} to a folder all executors share")
         root = tempfile.mkdtemp(prefix="millrace-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(root)
+        spark.conf.set(_CHECKPOINT_CONF, root)
     return root
 
 
@@ -39,7 +37,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder, so that every later read of it sees
-    the same rows in the same partitions, also after an executor is lost."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written to a table in the shared folder and read back.
+
+    Every later read sees the same rows, also after an executor is lost, reads
+    only the columns it uses, and has its true size known to the planner, which
+    broadcasts it below ``spark.sql.autoBroadcastJoinThreshold`` and not above.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "settled")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
