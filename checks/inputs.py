@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.session import scratch_path, use_utc
 from millrace.sinks.files import write_text
+from millrace.sources.layout import spread_small
 
 # The message schema with the three system columns, as a schema document.
 MESSAGE_COLUMNS = """
@@ -35,7 +36,8 @@ def ntz(ts: Column) -> Column:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"))
+    text = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"))
+    return spread_small(text)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +49,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def finance_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Both parts together are the whole table."""
-    items = table(spark, sf_dir, "lineitem")
+    items = spread_small(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_linenumber", "l_shipdate", "l_suppkey", "l_returnflag", "l_linestatus",
+            "l_extendedprice",
+        )
+    )
     fields = [
         F.col("l_orderkey") * 10 + F.col("l_linenumber"),
         F.date_format("l_shipdate", "yyyyMMdd"),
@@ -114,7 +121,7 @@ def json_messages(spark: SparkSession, sf_dir: str, damaged: bool = False,
         half = F.substring(payload, F.lit(1), F.floor(F.length(payload) / 2).cast("int"))
         payload = F.when(kind == "error", half).otherwise(payload)
     millis = F.unix_millis("ts")
-    return events(spark, sf_dir).select(
+    return spread_small(events(spark, sf_dir)).select(
         "event_id",
         F.timestamp_millis(millis).alias("event_ts"),
         millis.cast("string").alias("timestamp_ms"),

@@ -39,6 +39,7 @@ from millrace.operators.windows import with_shard_table, with_typed_window, with
 from millrace.plans import account_blocks, fixed_tables, pane_files, window_tables, word_report
 from millrace.session import scratch_path
 from millrace.sinks import files
+from millrace.sources.layout import spread_small
 from millrace.sources.schema import load_schema, schema_from_json
 from millrace.sources.text import ACCOUNT, parse_finance_lines, scan_finance_lines, scan_text
 from millrace.streaming.panes import Trigger, stream_panes
@@ -463,7 +464,7 @@ def _by_type(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
                 window_suffix(window["start"], name).alias("suffix"),
             )
         )
-    return events(spark, sf_dir).select("event_id", F.inline(F.array(*each)))
+    return spread_small(events(spark, sf_dir)).select("event_id", F.inline(F.array(*each)))
 
 
 @query

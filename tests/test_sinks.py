@@ -6,6 +6,7 @@ from millrace.functions.windows import minutes
 from millrace.operators import panes
 from millrace.session import scratch_path, shared_root
 from millrace.sinks import files
+from millrace.sources.layout import spread_small
 from conftest import BASE_S
 
 SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
@@ -65,3 +66,11 @@ def test_scratch_is_below_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert shared_root(spark) == root
     assert scratch_path(spark, "a").startswith(root) and scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+def test_only_a_small_scan_is_spread(spark, tmp_path):
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "small"))
+    spark.range(100).repartition(40).write.option("maxRecordsPerFile", 1).parquet(str(tmp_path / "many"))
+    assert spread_small(spark.read.parquet(str(tmp_path / "small"))).rdd.getNumPartitions() == 4
+    many = spark.read.parquet(str(tmp_path / "many"))
+    assert spread_small(many) is many
