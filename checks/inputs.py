@@ -9,7 +9,7 @@ from millrace.session import scratch_path, use_utc
 from millrace.sinks.files import write_text
 from millrace.sources.layout import spread_small
 
-# The message schema with the three system columns, as a schema document.
+# The columns of a message table, as a schema document.
 MESSAGE_COLUMNS = """
 {"schema": {"fields": [
   {"name": "FinanceKey", "type": "INTEGER", "mode": "nullable"},

@@ -41,7 +41,7 @@ from millrace.session import scratch_path
 from millrace.sinks import files
 from millrace.sources.layout import spread_small
 from millrace.sources.schema import load_schema, schema_from_json
-from millrace.sources.text import ACCOUNT, parse_finance_lines, scan_finance_lines, scan_text
+from millrace.sources.text import ACCOUNT, parse_finance_lines, scan_finance_lines, scan_text, scan_values
 from millrace.streaming.panes import Trigger, stream_panes
 from millrace.streaming.windows import closed_windows
 
@@ -687,6 +687,25 @@ def with_constant_key(spark, sf_dir):
     return placed.groupBy("window").agg(F.count(F.lit(1)).alias("n")).select(*_bounds(), "n")
 
 
+@query
+def with_key_function(spark, sf_dir):
+    """The key by an expression, the table by a function of the window."""
+    keyed = grouping.key_by(events(spark, sf_dir), F.concat("event_type", F.lit("-"), "user_id"))
+    return with_shard_table(
+        keyed, "ts", lambda w: F.concat(F.lit("until_"), F.date_format(w["end"], "yyyyMMdd")), "ONE_DAY"
+    ).select("event_id", "key", "table_name")
+
+
+@query
+def scan_literals(spark, sf_dir):
+    """A literal collection, next to the events each of its values has."""
+    kinds = scan_values(spark, ["view", "click", "signup", "purchase", "error", "other"])
+    counts = events(spark, sf_dir).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    return kinds.join(counts, kinds.value == counts.event_type, "left").select(
+        "value", F.coalesce("n", F.lit(0)).alias("n")
+    )
+
+
 @query
 def values_only(spark, sf_dir):
     keyed = grouping.key_by(events(spark, sf_dir), "event_type")

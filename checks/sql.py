@@ -389,6 +389,11 @@ SELECT {bucket('1 hour')} AS window_start, {bucket('1 hour')} + INTERVAL 1 HOUR
     "with_constant_key": f"""
 SELECT {bucket('1 hour')} AS window_start, {bucket('1 hour')} + INTERVAL 1 HOUR AS window_end,
   count(*) AS n FROM events GROUP BY 1, 2""",
+    "with_key_function": "SELECT event_id, event_type || '-' || user_id AS key, "
+                         "'until_' || strftime(date_trunc('day', ts) + INTERVAL 1 DAY, '%Y%m%d') AS table_name "
+                         "FROM events",
+    "scan_literals": "SELECT v.value, count(event_id) AS n FROM (VALUES ('view'), ('click'), ('signup'), "
+                     "('purchase'), ('error'), ('other')) v(value) LEFT JOIN events ON event_type = v.value GROUP BY 1",
     "values_only": "SELECT event_id, event_type, value FROM events",
 }
 

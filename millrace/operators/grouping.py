@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import settled
+
 MAX_GROUP_ROWS = 200_000
 # A hot key stands for more than max_group_rows records, so there are few of
 # them; up to this many are sent to the executors, more are joined by shuffle.
@@ -24,8 +26,9 @@ _SIDE = "_side"
 _RECORD = "_record"
 
 
-def key_by(df: DataFrame, field: str, key: str = "key") -> DataFrame:
-    return df.withColumn(key, F.col(field))
+def key_by(df: DataFrame, field: str | Column, key: str = "key") -> DataFrame:
+    """The key may be a field, any expression, or a constant (``F.lit``)."""
+    return df.withColumn(key, F.col(field) if isinstance(field, str) else field)
 
 
 def values_only(df: DataFrame, key: str = "key") -> DataFrame:
@@ -49,7 +52,7 @@ def _crowded(keyed: DataFrame, limit: int) -> tuple[DataFrame, bool] | None:
     if not rows:
         return None
     if len(rows) > MAX_BROADCAST_KEYS:
-        return found, False
+        return settled(found), False
     return keyed.sparkSession.createDataFrame(rows, found.schema), True
 
 

@@ -3,6 +3,8 @@ window."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -20,7 +22,7 @@ SHARD_WINDOW_TYPE = "FIVE_MINUTE"
 def rows(
     messages: DataFrame,
     schema: T.StructType,
-    table: str,
+    table: str | Callable[[Column], Column],
     process_window: WindowSize = PROCESS_WINDOW,
     shard_type: str = SHARD_WINDOW_TYPE,
     mode: str = "nominal",
@@ -41,8 +43,8 @@ def rows(
     )
 
 
-def writer(messages: DataFrame, schema: T.StructType, table: str, target: str, checkpoint: str,
-           **options) -> DataStreamWriter:
+def writer(messages: DataFrame, schema: T.StructType, table: str | Callable[[Column], Column],
+           target: str, checkpoint: str, **options) -> DataStreamWriter:
     """Call ``.trigger(..).start()`` on the result.  Rows come once per
     micro-batch; ``processingTime="30 seconds"`` is the early delay of the
     program this stands for."""
