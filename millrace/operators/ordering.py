@@ -22,8 +22,9 @@ def _sum_all(group: Sequence[str], total: str) -> Column:
 
 def number_by_slot(df: DataFrame, group: Sequence[str], slot: str, order: Sequence[str | Column],
                    slot_counts: DataFrame, name: str, total: str) -> DataFrame:
-    """1-based position of every row in its group and the rows of the group, where ``slot`` cuts a group
-    into consecutive stretches of ``order``.
+    """``name``, the 1-based position of every row in its group, and ``total``, the
+    rows of the group, where ``slot`` cuts a group into consecutive stretches of
+    ``order``.
 
     Rows move once, to their slot; ``slot_counts`` (``group``, ``slot``,
     ``_n`` rows) turns a position in the slot into one in the group.  A task
@@ -34,7 +35,8 @@ def number_by_slot(df: DataFrame, group: Sequence[str], slot: str, order: Sequen
     before = slot_counts.select(*keys, _sum_before(earlier), _sum_all(group, total))
     here = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     numbered = df.withColumn(_AT, here)
-    return numbered.join(before, keys).withColumn(name, F.col(_AT) + F.col(_BEFORE)).drop(_AT, _BEFORE)
+    position = F.col(_AT) + F.col(_BEFORE)
+    return numbered.join(before, keys).withColumn(name, position).drop(_AT, _BEFORE)
 
 
 def number_by_range(df: DataFrame, group: Sequence[str], order: Sequence[str],

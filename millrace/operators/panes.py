@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.windows import WindowSize, floor_div, pane_path, window_for
 from millrace.operators.ordering import number_by_range, number_by_slot
@@ -29,6 +30,11 @@ def _peak(counts: DataFrame) -> int:
     return counts.agg(F.max(_N)).first()[0] or 0
 
 
+def _sortable(df: DataFrame, but: str) -> list[str]:
+    return [f.name for f in df.schema.fields
+            if f.name != but and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+
+
 def assign_panes(
     df: DataFrame,
     event_ts: str,
@@ -42,7 +48,11 @@ def assign_panes(
     Rows of a window, in the order of event time and then ``order``, fill panes
     of ``pane_size``; a full pane fires early, what is left fires on time.  Each
     row is in one pane.  Rows without an event time belong to no window.
+
+    ``order`` is every other column if left out.  Rows that tie in it should be
+    alike: which of them goes first may change when a lost task is run again.
     """
+    order = list(order) or _sortable(df, but=event_ts)
     rows = df.where(F.col(event_ts).isNotNull()).withColumn("window", window_for(F.col(event_ts), size))
     width = max(1, -(-size.longest_micros // SLOTS_PER_WINDOW))
     offset = F.unix_micros(event_ts) - F.unix_micros(F.col("window")["start"])

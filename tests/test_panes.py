@@ -72,6 +72,14 @@ def test_calendar_months_and_missing_times(spark):
     }
 
 
+def test_other_columns_break_ties(spark):
+    df = spark.createDataFrame([(c, {c: 1}) for c in "dbca"], "name string, m map<string,int>").withColumn(
+        "ts", F.timestamp_seconds(F.lit(BASE_S))
+    )
+    got = panes.assign_panes(df, "ts", minutes(5), 2).select("name", "pane_index").collect()
+    assert {r["name"]: r["pane_index"] for r in got} == {"a": 0, "b": 0, "c": 1, "d": 1}
+
+
 def test_rows_move_once(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

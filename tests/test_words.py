@@ -1,3 +1,8 @@
+import re
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
 from millrace.operators import words
 from millrace.plans import word_report
 from millrace.sinks.files import write_text
@@ -56,3 +61,16 @@ def test_report_files(spark, tmp_path):
     assert sorted((r["output"], r["value"]) for r in rows) == [
         ("above", "bbb3"), ("above", "cc2"), ("all", "a"), ("all", "bbb"), ("all", "cc"), ("below", "a1"),
     ]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(st.text(alphabet="abZ' \n\t-9\u00e9\u4e2d\U0001f600.", max_size=40), min_size=1, max_size=50))
+def test_any_text(spark, texts):
+    found = words.tokenize(_lines(spark, *texts))
+    want = sorted(w for t in texts for w in re.findall("[a-zA-Z']+", t))
+    assert _values(found) == want
+    if want:
+        mean = sum(map(len, want)) / len(want)
+        outputs = words.word_outputs(found)
+        assert _values(outputs["above"]) == sorted(f"{w}{len(w)}" for w in want if len(w) >= mean)
+        assert _values(outputs["below"]) == sorted(f"{w}{len(w)}" for w in want if len(w) < mean)
