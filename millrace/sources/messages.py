@@ -27,9 +27,8 @@ def messages(raw: DataFrame, payload: str = "payload", label: str = "timestamp_m
 
 
 def message_stream(spark: SparkSession, path: str, schema: str = MESSAGE_SCHEMA,
-                   keep: Sequence[str] = (), max_files: int | None = None) -> DataFrame:
-    """Messages from a folder that Parquet files keep arriving in."""
-    reader = spark.readStream.schema(schema)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return messages(reader.parquet(path), keep=keep)
+                   keep: Sequence[str] = (), **options: str | int) -> DataFrame:
+    """Messages from a folder that Parquet files keep arriving in.  ``options`` are
+    those of Spark's file source: ``maxBytesPerTrigger`` bounds a micro-batch."""
+    raw = spark.readStream.schema(schema).options(**options).parquet(path)
+    return messages(raw, keep=keep)

@@ -30,6 +30,8 @@ _FIXED = (_START, _END, _SHARD, "pane_index", "timing", "is_first", "is_last")
 # this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Shards are hashed to partitions: several to each even out.
+_SHARDS_PER_PARTITION = 4
 _BLOCK = 1000  # rows put into the state at a time
 
 
@@ -200,7 +202,7 @@ def stream_panes(
 
     Nearly all rows of the moment are in one window, so a window is spread over
     ``shards`` pane sequences, each with a state of its own: so many, or by the
-    value of a column, or one per shuffle partition if left out.  1 gives one
+    value of a column, or four per shuffle partition if left out.  1 gives one
     sequence per window, and one task all the work.  Without ``early`` a window waits for its end, without
     ``late`` nothing follows its on-time pane.
 
@@ -254,7 +256,8 @@ def _shard(df: DataFrame, shards: int | Column | None) -> Column:
     if isinstance(shards, Column):
         return shards.cast("int")
     if shards is None:
-        shards = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        shards = partitions * _SHARDS_PER_PARTITION
     if shards == 1:
         return F.lit(0)
     # Not by content, so that copies of one message do not meet in one shard.  A

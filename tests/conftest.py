@@ -47,7 +47,7 @@ def feed(spark, tmp_path):
         from millrace.sources.messages import message_stream
 
         out = str(tmp_path / "out")
-        writer = configure(transform(message_stream(spark, inbox, max_files=1)).writeStream)
+        writer = configure(transform(message_stream(spark, inbox, maxFilesPerTrigger=1)).writeStream)
         query = (
             writer.format(fmt).option("path", out).outputMode("append")
             .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()

@@ -65,10 +65,11 @@ def test_delay_zero_fires_each_batch_and_without_late_trigger_nothing_follows(sp
 
 
 def test_shards_are_independent_and_whole(spark, feed):
-    rows = [(f"p{i}", i % 290) for i in range(200)]
-    out = feed([rows[:120], rows[120:], [FAR]], _cut(Trigger(count=10), None, shards=None))
+    rows = [(f"p{i}", i % 290) for i in range(400)]
+    out = feed([rows[:240], rows[240:], [FAR]], _cut(Trigger(count=10), None, shards=None))
     got = _panes(spark, out)
-    assert {k[1] for k in got} == {0, 1, 2, 3}
+    shards = {k[1] for k in got}
+    assert shards <= set(range(16)) and len(shards) > 8  # four for each of four partitions
     seen = [p for shard in got.values() for pane in shard for p in pane[4]]
     assert sorted(seen) == sorted(p for p, _ in rows)
     for shard in got.values():
