@@ -275,7 +275,7 @@ FROM accepted
 
 STREAM_FILES = f"""
 SELECT strftime(window_start + INTERVAL 1 DAY - INTERVAL 1 MILLISECOND, '{ISO}') AS window_max_ts,
-  shard, pane_index, n, 1 AS n_files
+  shard, pane_index, n, CAST(1 AS BIGINT) AS n_files
 FROM ({fired(counted(20), counted(20))})
 """
 
@@ -283,7 +283,7 @@ SQL = {
     "scan_text_lines": "SELECT unnest(string_split(text, chr(10))) AS value FROM documents",
     "sink_text": f"SELECT word FROM ({WORDS})",
     "tokenize": WORDS,
-    "word_length": f"SELECT doc_id, word, length(word) AS len FROM ({WORDS})",
+    "word_length": f"SELECT doc_id, word, CAST(length(word) AS INTEGER) AS len FROM ({WORDS})",
     "mean_global": f"{WITH_WORDS} SELECT avg_len FROM mean",
     "side_input_scalar": f"{WITH_WORDS} SELECT doc_id, word, avg_len FROM words, mean",
     "filter_ge_scalar": f"{WITH_WORDS} SELECT doc_id, word FROM words, mean WHERE length(word) >= avg_len",
