@@ -65,7 +65,6 @@ _STATE_SCHEMA = "panes long, waiting long, first_ms long, past_end boolean"
 class _PaneProcessor(StatefulProcessor):
     def __init__(self, columns: Sequence[str], schema: T.StructType, slack_ms: int,
                  lateness_ms: int, early: Trigger | None, late: Trigger | None) -> None:
-        self._columns = list(columns)
         self._row = Row(*_FIXED, *columns)
         self._schema = schema
         self._slack = slack_ms
@@ -164,24 +163,29 @@ class _PaneProcessor(StatefulProcessor):
             self._keep(window, block)
 
     def _keep(self, window: _Window, block: list[Row]) -> None:
-        self._buffer.appendList([tuple(row[c] for c in self._columns) for row in block])
+        self._buffer.appendList([_values(row) for row in block])
         window.waiting += len(block)
 
     def _fire(self, key, window: _Window, extra: Iterable[Row], timing: str,
               last: bool = False) -> Iterator[Row]:
         """One pane of everything that waits and ``extra``; none if that is nothing."""
         waiting = self._buffer.get() if window.waiting else ()
-        new = (tuple(row[c] for c in self._columns) for row in extra)
+        head = (*key, window.panes, timing, window.panes == 0, last)
         fired = False
-        for values in chain(waiting, new):
+        for values in chain(waiting, map(_values, extra)):
             fired = True
-            yield self._row(*key, window.panes, timing, window.panes == 0, last, *values)
+            yield self._row(*head, *values)
         if window.waiting:
             self._buffer.clear()
             window.waiting = 0
         window.panes += fired
 
 
+def _values(row: Row) -> tuple:
+    """The columns to carry, which follow the three of the key."""
+    return row[3:]
+
+
 def _micros(df: DataFrame) -> tuple[DataFrame, list[str]]:
     """Timestamps travel to the processor and back as microseconds."""
     times = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]

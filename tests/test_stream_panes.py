@@ -144,7 +144,7 @@ def test_age_of_a_waiting_pane():
     window, key, trigger = _Window(), (0, 300_000, 0), Trigger(count=3, delay_ms=30_000)
 
     def take(now, *payloads):
-        rows = [{"p": p} for p in payloads]
+        rows = [(*key, p) for p in payloads]
         return [(r["pane_index"], r["p"]) for r in processor._take(key, window, rows, trigger, "EARLY", now)]
 
     assert take(1_000, "a") == []
