@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,15 +20,17 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local session may fall back to a folder of its own: on a cluster a
-    machine-local folder would be lost with its machine.
+    Only a session whose executors are threads of the driver may leave it unset;
+    it gets a folder of its own, once.  On a cluster such a folder would be lost
+    with its machine.
     """
-    root = spark.conf.get(_CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    root = spark.conf.get(_CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError(f"set {_CHECKPOINT_CONF} to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set(_CHECKPOINT_CONF, root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
+        root = context.getCheckpointDir()
     return root
 
 
