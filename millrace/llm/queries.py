@@ -2,15 +2,29 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, exact_dedup, sharding
-from millrace.session import use_utc
+from millrace.llm import chat, exact_dedup, secrets, sharding, tokens
+from millrace.session import use_utc, with_package
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return use_utc(with_package(spark)).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def vocabulary(name: str = "byte_bpe_50k.tiktoken") -> tokens.Vocabulary:
+    return tokens.Vocabulary.read(public_tokenizers.path(name), public_tokenizers.PATTERN)
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = tokens.encode(docs, vocabulary()).select("doc_id", "ids")
+    return tokens.decode(encoded, vocabulary()).select(
+        "doc_id", tokens.n_tokens().alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +49,20 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secrets(_table(spark, sf_dir, "documents"), vocabulary())
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"), count("random"),
+        F.sha2(secrets.joined(base), 256).alias("base_sha256"),
+        secrets.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_copies(_table(spark, sf_dir, "documents"))
 
@@ -44,7 +72,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_byte_bpe": op2_byte_bpe,
     "op3_chat_format": op3_chat_format,
+    "op5_secrets": op5_secrets,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
 }
