@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +36,19 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def with_package(spark: SparkSession) -> SparkSession:
+    """Sees to it that Python workers can import this package, wherever they run."""
+    context = spark.sparkContext
+    if not getattr(context, "_has_millrace", False):
+        package = Path(__file__).resolve().parent
+        archive = shutil.make_archive(
+            f"{tempfile.mkdtemp(prefix='millrace-')}/millrace", "zip", package.parent, package.name
+        )
+        context.addPyFile(archive)
+        context._has_millrace = True
+    return spark
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing has used yet."""
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
