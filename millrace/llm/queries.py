@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, exact_dedup, secrets, sharding, tokens
+from millrace.llm import chat, exact_dedup, quality, secrets, sharding, tokens
 from millrace.session import use_utc, with_package
 
 
@@ -18,6 +18,13 @@ def vocabulary(name: str = "byte_bpe_50k.tiktoken") -> tokens.Vocabulary:
     return tokens.Vocabulary.read(public_tokenizers.path(name), public_tokenizers.PATTERN)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(_table(spark, sf_dir, "documents"), carry=["doc_id"]).select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "n_repeat_words", "base_failed", "kept", "word_distance", "char_distance",
+    )
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = tokens.encode(docs, vocabulary()).select("doc_id", "ids")
@@ -72,6 +79,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_chat_format": op3_chat_format,
     "op5_secrets": op5_secrets,
