@@ -16,7 +16,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import attach, packed, settled, text_or_empty, unpacked
+from millrace.llm.shared import attach, settled, text_or_empty
 
 #: Code points of a chunk, and of the stretch that it shares with the next one.
 CHUNK, OVERLAP = 16_384, 512
@@ -150,8 +150,9 @@ def _encode_long(texts: DataFrame, vocabulary: Vocabulary, chunk: int, overlap:
     piece = F.substring(F.col("text"), F.col("cut") + 1, length - F.col("cut"))
     pieces = chunks.drop("seams").join(cuts, ["digest", "n"]).join(failed, "digest", "left_anti")
     encoded = pieces.select("digest", "n", encode(piece).alias("ids"))
-    parts = F.array_sort(F.collect_list(F.struct("n", F.hex("ids").alias("ids"))))
-    stitched = encoded.groupBy("digest").agg(F.unhex(F.array_join(parts["ids"], "")).alias("ids"))
+    parts = encoded.groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("n", "ids"))).alias("parts"))
+    joined = F.unhex(F.array_join(F.transform("parts", lambda p: F.hex(p["ids"])), ""))
+    stitched = parts.select("digest", joined.alias("ids"))
     whole = texts.join(failed, "digest", "left_semi").dropDuplicates(["digest"])
     return stitched.unionByName(whole.select("digest", encode("text").alias("ids")))
 
@@ -176,9 +177,10 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_
     )
     sizes = settled(long.groupBy(digest.alias("digest")).agg(F.count(F.lit(1)).alias("copies")))
     total = sizes.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
-    rows = packed(long.select(*columns), digest=digest)
+    # Plain columns under numbers, so that those nobody asks for are not moved.
+    rows = long.select(*[F.col(c).alias(f"c{n}") for n, c in enumerate(columns)], digest.alias("digest"))
     met = attach(rows, found.join(sizes, "digest"), "digest", "copies", total)
-    met = met.select(*[F.col("row").getField(c).alias(c) for c in columns], F.col("ids").alias(ids_col))
+    met = met.select(*[F.col(f"c{n}").alias(c) for n, c in enumerate(columns)], F.col("ids").alias(ids_col))
     return short.select(*columns, ids_col).unionByName(met)
 
 
