@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, exact_dedup, quality, secrets, sharding, tokens
+from millrace.llm import chat, exact_dedup, mixing, quality, secrets, sharding, tokens
+from millrace.llm.shared import words
 from millrace.session import use_utc, with_package
 
 
@@ -56,6 +57,31 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Of all tokens three fifths are wanted, and no document more than twice.
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = (3, 5), 2, 17
+
+
+_SOURCE_NO = "coalesce(try_cast(regexp_extract(source, '^src([0-9]{1,4})$', 1) as int), 0)"
+
+
+def mixture(docs: DataFrame, carry: list[str]) -> DataFrame:
+    """Documents by the tree of the test tables: sources in three domains, with their languages."""
+    domain = F.expr(f"case when {_SOURCE_NO} < 10 then 'web' when {_SOURCE_NO} < 15 then 'books' else 'reference' end")
+    weights = {
+        "domain": F.expr("case domain when 'web' then 5 when 'books' then 3 else 2 end"),
+        "lang": F.expr("case lang when 'en' then 6 when 'de' then 2 when 'fr' then 2 else 1 end"),
+        "source": F.expr(f"1 + {_SOURCE_NO} % 3"),
+    }
+    n_tokens: Column = F.size(words(F.col("text")))
+    return mixing.copies(docs, "doc_id", n_tokens, domain, weights, MIX_SHARE, MIX_EPOCHS, MIX_SEED, carry=carry)
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(_table(spark, sf_dir, "documents"), []).select(
+        F.col("id").alias("doc_id"), "domain", "lang", "source", "n_tokens", "budget", "copies"
+    )
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secrets(_table(spark, sf_dir, "documents"), vocabulary())
     base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
@@ -82,6 +108,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_chat_format": op3_chat_format,
+    "op4_mixing": op4_mixing,
     "op5_secrets": op5_secrets,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,

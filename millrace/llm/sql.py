@@ -21,7 +21,60 @@ SELECT conv_id, count(*) AS n_turns,
 FROM near GROUP BY conv_id
 """
 
+
+
+def _shared(level: str, parent: str | None, name: str) -> str:
+    """One level of the tree: what each node gets of its parent's budget."""
+    path = {"domain": "domain", "lang": "domain, lang", "source": "domain, lang, source"}[level]
+    weight = {
+        "domain": "CASE domain WHEN 'web' THEN 5 WHEN 'books' THEN 3 ELSE 2 END",
+        "lang": "CASE lang WHEN 'en' THEN 6 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END",
+        "source": "1 + max(number) % 3",
+    }[level]
+    above = "" if parent is None else {"lang": "PARTITION BY domain", "source": "PARTITION BY domain, lang"}[level]
+    given = (
+        "least(sum(tokens) OVER () * 3 // 5, sum(capacity) OVER ())" if parent is None
+        else f"(SELECT p.budget FROM {parent} p WHERE {' AND '.join(f'p.{c} = n.{c}' for c in (['domain'] if level == 'lang' else ['domain', 'lang']))})"
+    )
+    return f"""
+{name}_n AS (SELECT {path}, sum(n_tokens)::BIGINT AS tokens, (2 * sum(n_tokens))::BIGINT AS capacity, ({weight})::BIGINT AS weight
+  FROM docs GROUP BY {path}),
+{name}_g AS (SELECT *, ({given})::BIGINT AS given FROM {name}_n n),
+{name}_r AS (SELECT *, given - coalesce(sum(capacity) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_over,
+    sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+  FROM {name}_g WINDOW w AS ({above} ORDER BY capacity / weight, {level})),
+{name}_f AS (SELECT *, left_over * weight >= capacity * weights AS filled FROM {name}_r),
+{name} AS (SELECT *, (CASE WHEN filled THEN capacity ELSE
+    (given - coalesce(sum(capacity) FILTER (filled) OVER ({above}), 0)) * weight
+    // sum(weight) FILTER (NOT filled) OVER ({above}) END)::BIGINT AS budget FROM {name}_f)"""
+
+
+_MIXING = r"""
+WITH numbered AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens,
+    coalesce(TRY_CAST(regexp_extract(source, '^src([0-9]{1,4})$', 1) AS INT), 0) AS number
+  FROM documents
+), docs AS (
+  SELECT *, CASE WHEN number < 10 THEN 'web' WHEN number < 15 THEN 'books' ELSE 'reference' END AS domain FROM numbered
+),""" + ",".join(
+    [_shared("domain", None, "d"), _shared("lang", "d", "l"), _shared("source", "l", "s")]
+) + """,
+planned AS (
+  SELECT d.*, s.budget, CASE WHEN s.tokens > 0 THEN s.budget // s.tokens ELSE 0 END AS epochs,
+    CASE WHEN s.tokens > 0 THEN s.budget % s.tokens ELSE 0 END AS rest
+  FROM docs d JOIN s USING (domain, lang, source)
+), run AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source
+    ORDER BY md5(concat_ws('|', doc_id, 17, epochs)), n_tokens ROWS UNBOUNDED PRECEDING) AS upto FROM planned
+)
+SELECT doc_id, domain, lang, source, n_tokens, budget,
+  (epochs + CASE WHEN upto <= rest THEN 1 ELSE 0 END)::BIGINT AS copies
+FROM run
+"""
+
 SQL = {
+    "op4_mixing": _MIXING,
     "op3_chat_format": _CONVERSATIONS,
     "op9_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
