@@ -31,10 +31,10 @@ ENDS = (
        "tr": ({"tr", "td", "th"}, {"table"})}
     | {tag: ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}) for tag in ("thead", "tbody", "tfoot")}
 )
-# A tag with its quoted values, or, if quotes do not match, up to the next ">".
+# A tag with its quoted values, or, if quotes do not match before the next "<", up to the next ">".
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"""
-    r"""|<(/?)([A-Za-z][^\s/>]*)((?>(?:[^>"']|"[^"]*"|'[^']*')*)|[^>]*)>""", re.S
+    r"""|<(/?)([A-Za-z][^\s/>]*)((?>(?:[^>"']|"[^"<]*"|'[^'<]*')*)|[^>]*)>""", re.S
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
@@ -48,14 +48,33 @@ class Node:
     children: list = field(default_factory=list)  # nodes and strings
 
 
+class _Open:
+    """The open nodes, and for each tag how deep it stands, so that no search takes long."""
+
+    def __init__(self, root: Node) -> None:
+        self.stack = [root]
+        self.depths: dict[str, list[int]] = {}
+
+    def nearest(self, tags) -> int:
+        return max((self.depths[t][-1] for t in tags if self.depths.get(t)), default=0)
+
+    def push(self, node: Node) -> None:
+        self.depths.setdefault(node.tag, []).append(len(self.stack))
+        self.stack.append(node)
+
+    def pop_to(self, depth: int) -> None:
+        while len(self.stack) > depth:
+            self.depths[self.stack.pop().tag].pop()
+
+
 def tree(html: str) -> Node:
     """The page's nodes, with the end tags that authors may leave out."""
     root = Node("html")
-    stack, at = [root], 0
+    opened, at = _Open(root), 0
 
     def text(part: str) -> None:
         if part:
-            stack[-1].children.append(unescape(part))
+            opened.stack[-1].children.append(unescape(part))
 
     while at < len(html):
         token = _TOKEN.search(html, at)
@@ -68,37 +87,30 @@ def tree(html: str) -> Node:
             continue
         tag = token[2].lower()
         if token[1]:
-            _close(stack, tag)
+            # An end tag inside a cell ends nothing outside it, but for parts of tables.
+            depth = opened.nearest((tag,))
+            if depth and (tag in TABLE_PARTS or depth > opened.nearest(("td", "th", "table"))):
+                opened.pop_to(depth)
             continue
         if tag in ENDS:
             ended, scope = ENDS[tag]
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag in scope:
-                    break
-                if stack[depth].tag in ended:
-                    del stack[depth:]
+            limit = opened.nearest(scope)
+            # The outermost of those it ends within the scope takes the others with it.
+            inside = [d for t in ended for d in opened.depths.get(t, ())[-1:] if d > limit]
+            if inside:
+                opened.pop_to(min(inside))
         attributes = {k.lower(): unescape(v.strip("\"'")) for k, v in _ATTRIBUTE.findall(token[3])}
         node = Node(tag, attributes)
-        stack[-1].children.append(node)
+        opened.stack[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|\Z", re.I).search(html, at)
             node.children.append(html[at : end.start()])
             at = end.end()
         elif tag not in VOID:
-            stack.append(node)
+            opened.push(node)
     return root
 
 
-def _close(stack: list[Node], tag: str) -> None:
-    """Ends the nearest open ``tag``, unless a cell or table lies between."""
-    for depth in range(len(stack) - 1, 0, -1):
-        if stack[depth].tag == tag:
-            del stack[depth:]
-            return
-        if stack[depth].tag in ("td", "th", "table") and tag not in TABLE_PARTS:
-            return
-
-
 def hidden(node: Node) -> bool:
     own = node.attributes
     return (
