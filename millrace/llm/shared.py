@@ -46,10 +46,15 @@ def attach(rows: DataFrame, table: DataFrame, key: str, size: str, total: int) -
     ``size``, how many rows of ``rows`` the key has (``total`` together, at least).
 
     Keys of more than a thousandth of all rows, of which there are at most a
-    thousand, are sent to every task, so that their rows need not meet in one;
-    the others are joined by a shuffle.
+    thousand, are dealt over several parts, by the partition a row comes from;
+    their row of ``table`` is repeated for each part.
     """
-    limit = total // HOT_SHARE
-    hot = F.broadcast(table.where(F.col(size) > limit))
-    others = rows.join(F.broadcast(table.where(F.col(size) > limit).select(key)), key, "left_anti")
-    return rows.join(hot, key).unionByName(others.join(table.where(F.col(size) <= limit), key))
+    limit = max(1, total // HOT_SHARE)
+    parts = F.ceil(F.col(size) / limit).cast("int")
+    hot = F.broadcast(table.where(F.col(size) > limit).select(key, parts.alias("_parts")))
+    dealt = rows.join(hot, key, "left").withColumn(
+        "_part", F.coalesce(F.pmod(F.spark_partition_id(), F.col("_parts")), F.lit(0))
+    )
+    last = F.when(F.col(size) > limit, parts - 1).otherwise(F.lit(0))
+    repeated = table.withColumn("_part", F.explode(F.sequence(F.lit(0), last)))
+    return dealt.drop("_parts").join(repeated, [key, "_part"]).drop("_part")

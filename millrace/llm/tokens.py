@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from millrace.llm.shared import attach, settled, text_or_empty
 
-#: Code points of a chunk, and of the stretch that it shares with the next one.
-CHUNK, OVERLAP = 16_384, 512
+#: Code points of a chunk, and of the stretch that it shares with the next one.  A chunk
+#: takes a few hundredths of a second; to spread shorter texts would cost more than it saves.
+CHUNK, OVERLAP = 65_536, 1_024
 #: No alternative of a pattern looks further ahead than this from the end of its match.
 LOOK_AHEAD = 3
 #: A vocabulary is sent to the tasks; a file above this size is refused.
@@ -145,14 +146,19 @@ def _encode_long(texts: DataFrame, vocabulary: Vocabulary, chunk: int, overlap:
         cuts.select("digest", "n", "cut", F.lead("cut").over(order).alias("next_cut"),
                     F.lead("n").over(order).isNull().alias("is_last"))
     )
-    failed = cuts.where(F.col("cut").isNull()).select("digest").distinct()
     length = F.when(F.col("is_last"), F.length("text")).otherwise(F.lit(chunk) + F.col("next_cut"))
     piece = F.substring(F.col("text"), F.col("cut") + 1, length - F.col("cut"))
-    pieces = chunks.drop("seams").join(cuts, ["digest", "n"]).join(failed, "digest", "left_anti")
+    pieces = chunks.drop("seams").join(cuts, ["digest", "n"])
+    failed = settled(cuts.where(F.col("cut").isNull()).select("digest").distinct())
+    seamless = failed.isEmpty()
+    if not seamless:
+        pieces = pieces.join(failed, "digest", "left_anti")
     encoded = pieces.select("digest", "n", encode(piece).alias("ids"))
     parts = encoded.groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("n", "ids"))).alias("parts"))
     joined = F.unhex(F.array_join(F.transform("parts", lambda p: F.hex(p["ids"])), ""))
     stitched = parts.select("digest", joined.alias("ids"))
+    if seamless:
+        return stitched
     whole = texts.join(failed, "digest", "left_semi").dropDuplicates(["digest"])
     return stitched.unionByName(whole.select("digest", encode("text").alias("ids")))
 
@@ -172,9 +178,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_
     short = docs.where(F.length(text) <= chunk).withColumn(ids_col, _encoder(spark, vocabulary)(text))
     digest = F.unhex(F.sha2(text, 256))
     long = docs.where(F.length(text) > chunk)
-    found = settled(
-        _encode_long(long.select(digest.alias("digest"), text.alias("text")), vocabulary, chunk, overlap)
-    )
+    found = _encode_long(long.select(digest.alias("digest"), text.alias("text")), vocabulary, chunk, overlap)
     sizes = settled(long.groupBy(digest.alias("digest")).agg(F.count(F.lit(1)).alias("copies")))
     total = sizes.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
     # Plain columns under numbers, so that those nobody asks for are not moved.
