@@ -4,27 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import BROADCAST_ROWS, attach, packed, settled, text_or_empty, unpacked
+from millrace.llm.shared import attach, bloom_mask, bloom_tested, bloom_word, packed, settled, text_or_empty, unpacked
 
 #: Rows for each 64-bit word of the filter.  A row sets up to three bits of one word.
 ROWS_PER_WORD = 4
 
 
-def _word(digest: str, n_words: int) -> Column:
-    return F.pmod(F.xxhash64(digest), F.lit(n_words)).alias("word")
-
-
-def _mask(digest: str) -> Column:
-    bits = F.xxhash64(digest, F.lit(1))
-    one = F.lit(1).cast("long")
-    turn = [F.shiftrightunsigned(bits, n).bitwiseAND(F.lit(63)).cast("int") for n in (0, 6, 12)]
-    parts = [F.call_function("shiftleft", one, t) for t in turn]
-    return parts[0].bitwiseOR(parts[1]).bitwiseOR(parts[2]).alias("mask")
-
-
 @dataclass
 class Repeats:
     """What the two passes found.
@@ -41,17 +29,8 @@ class Repeats:
     n_words: int
 
     def suspected(self, rows: DataFrame) -> DataFrame:
-        """``rows`` (with ``digest``) and ``maybe``, whether the filter has the digest.
-
-        The filter is sent to the tasks up to ``BROADCAST_ROWS`` words; above, words
-        and rows are joined by a shuffle.
-        """
-        bloom = F.broadcast(self.bloom) if self.bloom.count() <= BROADCAST_ROWS else self.bloom
-        met = rows.withColumns({"word": _word("digest", self.n_words), "mask": _mask("digest")}).join(
-            bloom, "word", "left"
-        )
-        hit = F.coalesce(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"), F.lit(False))
-        return met.withColumn("maybe", hit).drop("word", "mask", "bits")
+        """``rows`` (with ``digest``) and ``maybe``, whether the filter has the digest."""
+        return bloom_tested(rows, self.bloom, self.n_words, F.col("digest"))
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Repeats:
@@ -70,7 +49,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
     total = digests.count()
     n_words = max(1, total // ROWS_PER_WORD)
-    patterns = digests.groupBy(_word("digest", n_words), _mask("digest")).count()
+    patterns = digests.groupBy(bloom_word(F.col("digest"), n_words=n_words), bloom_mask(F.col("digest"))).count()
     bloom = settled(
         patterns.where("count > 1").groupBy("word").agg(F.bit_or("mask").alias("bits"))
     )

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, exact_dedup, html, mixing, quality, secrets, sharding, tokens
+from millrace.llm import chat, exact_dedup, html, mixing, near, quality, secrets, sharding, tokens
 from millrace.llm.shared import words
 from millrace.session import use_utc, with_package
 
@@ -96,6 +96,11 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near.near_copies(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "html")
     return html.extract_text(pages).select("page_id", F.length("text").cast("long").alias("n_chars"), "text")
@@ -115,6 +120,7 @@ QUERIES = {
     "op3_chat_format": op3_chat_format,
     "op4_mixing": op4_mixing,
     "op5_secrets": op5_secrets,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_html_text": op8_html_text,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,

@@ -9,14 +9,11 @@ from pyspark.sql import functions as F
 
 from millrace.session import settled
 
-__all__ = ["WORD", "attach", "packed", "settled", "text_or_empty", "unpacked", "words"]
-
-# Fixed value: a word, the same for Java, Python and RE2.
-WORD = r"[^\x20\x09-\x0D]+"
+# Fixed value: what stands between words.
 _SPACES = r"[\x20\x09-\x0D]+"
 
-#: A table may be broadcast up to so many rows of a few numbers each (about 50 MB).
-BROADCAST_ROWS = 500_000
+#: A table of a few numbers a row may be broadcast up to so many rows (about 64 MB).
+BROADCAST_ROWS = 1 << 21
 #: A key is hot if it has more than one in so many rows; so there are at most so many hot keys.
 HOT_SHARE = 1_000
 
@@ -41,6 +38,41 @@ def unpacked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[F.col("row").getField(c).alias(c) for c in columns])
 
 
+def bloom_word(*hashed: Column, n_words: int) -> Column:
+    """The 64-bit word of a blocked Bloom filter that a value falls into."""
+    return F.pmod(F.xxhash64(*hashed), F.lit(n_words)).alias("word")
+
+
+def bloom_mask(*hashed: Column) -> Column:
+    """The bits, up to three, that a value sets in its word."""
+    bits = F.xxhash64(*hashed, F.lit(1))
+    one = F.lit(1).cast("long")
+    turn = [F.shiftrightunsigned(bits, n).bitwiseAND(F.lit(63)).cast("int") for n in (0, 6, 12)]
+    parts = [F.call_function("shiftleft", one, t) for t in turn]
+    return parts[0].bitwiseOR(parts[1]).bitwiseOR(parts[2]).alias("mask")
+
+
+def bloom_of(values: DataFrame, n: int, column: str, per_word: int = 8) -> tuple[DataFrame, int]:
+    """The words (``word, bits``) of a filter of ``n`` values, and how many there can be."""
+    n_words = max(1, n // per_word)
+    words = values.groupBy(bloom_word(F.col(column), n_words=n_words)).agg(
+        F.bit_or(bloom_mask(F.col(column))).alias("bits")
+    )
+    return settled(words), n_words
+
+
+def bloom_tested(rows: DataFrame, bloom: DataFrame, n_words: int, *hashed: Column) -> DataFrame:
+    """``rows`` and ``maybe``, whether the filter has the value.
+
+    The filter is sent to the tasks up to ``BROADCAST_ROWS`` words; above, words
+    and rows are joined by a shuffle.
+    """
+    small = F.broadcast(bloom) if bloom.count() <= BROADCAST_ROWS else bloom
+    met = rows.withColumns({"word": bloom_word(*hashed, n_words=n_words), "mask": bloom_mask(*hashed)})
+    hit = F.coalesce(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"), F.lit(False))
+    return met.join(small, "word", "left").withColumn("maybe", hit).drop("word", "mask", "bits")
+
+
 def attach(rows: DataFrame, table: DataFrame, key: str, size: str, total: int) -> DataFrame:
     """``rows`` with the columns of ``table``, which has one row per ``key`` and, in
     ``size``, how many rows of ``rows`` the key has (``total`` together, at least).
