@@ -362,3 +362,26 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.when(empty, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(empty, F.col("row_no")).otherwise(F.col("root")).alias("root"),
     )
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each component, that of the smallest id, same columns.
+
+    Rows are numbered and written, since ids may be null or repeat.  Only the rows
+    that a filter of the dropped ones has are joined; the others pass straight through.
+    """
+    numbered = settled(docs.select(
+        F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("at")
+    ))
+    at_text = numbered.select("at", F.col("row").getField(text_col).alias("text"))
+    found = near_copies(at_text, "at").select(F.col("doc_id").alias("at"), "root")
+    ids = numbered.select("at", F.col("row").getField(id_col).alias("id"))
+    ranked = settled(found.join(ids, "at").select("root", "at", F.struct(F.col("id").isNull(), "id", "at").alias("rank")))
+    stays = ranked.groupBy("root").agg(F.min("rank").alias("rank")).select(F.col("rank.at").alias("at"))
+    dropped = settled(ranked.select("at").join(stays, "at", "left_anti"))
+    bloom, n_words = bloom_of(dropped, dropped.count(), "at")
+    tested = bloom_tested(numbered, bloom, n_words, F.col("at"))
+    kept = tested.where("not maybe").select("row").unionByName(
+        tested.where("maybe").join(dropped, "at", "left_anti").select("row")
+    )
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
