@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, exact_dedup, html, mixing, near, quality, secrets, sharding, tokens
+from millrace.llm import chat, exact_dedup, html, mixing, near, personal, quality, secrets, sharding, tokens
 from millrace.llm.shared import words
 from millrace.session import use_utc, with_package
 
@@ -96,6 +96,19 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.personal_data(_table(spark, sf_dir, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[count(k) for k in ("email", "ip", "card", "phone")],
+        F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
+        secrets.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near.near_copies(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -120,6 +133,7 @@ QUERIES = {
     "op3_chat_format": op3_chat_format,
     "op4_mixing": op4_mixing,
     "op5_secrets": op5_secrets,
+    "op6_personal_data": op6_personal_data,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_html_text": op8_html_text,
     "op9_exact_dedup": op9_exact_dedup,
