@@ -109,8 +109,8 @@ def histograms(rows: DataFrame) -> DataFrame:
         F.struct(F.lit("char").alias("kind"), F.lit(name).alias("bin"), F.try_divide(size, length).alias("share"))
         for name, size in sizes
     ])
-    common = F.filter(F.transform("found", F.lower), lambda w: w.isin(_ALL_WORDS))
-    rest = rest.withColumns({"chars": F.filter(chars, lambda b: b["share"] > 0), "common": common})
+    common = F.transform(F.filter("found", lambda w: F.lower(w).isin(_ALL_WORDS)), F.lower)
+    rest = rest.withColumns({"chars": F.filter(chars, lambda b: b["share"].isNotNull()), "common": common})
     listed = F.transform(
         F.array_distinct("common"),
         lambda w: F.struct(
@@ -129,12 +129,15 @@ def histograms(rows: DataFrame) -> DataFrame:
 def _reference(rows: DataFrame, lang: Column) -> DataFrame:
     """One row, one column: of each kind and bin the shares in the listed languages.
 
-    A share is the mean over all texts that say they are in the language.  The
-    size is bounded by the lists of words and classes.
+    Of all texts that say they are in the language: of a word the mean share; of a
+    class of characters the median, which the many symbols of some texts do not
+    move.  The size is bounded by the lists of words and classes.
     """
     languages = list(COMMON_WORDS)
     bins = rows.where(lang.isin(languages)).select(lang.alias("lang"), F.explode("bins").alias("b"))
-    sums = bins.groupBy("lang", "b.kind", "b.bin").agg(F.sum("b.share").alias("s"))
+    sums = bins.groupBy("lang", "b.kind", "b.bin").agg(
+        F.when(F.col("kind") == "char", F.percentile_approx("b.share", 0.5, 10_000)).otherwise(F.sum("b.share")).alias("s")
+    )
     share = F.col("s") / F.sum("s").over(Window.partitionBy("lang", "kind"))  # of a hundred bins
     shares = sums.withColumn("share", share)
     by_bin = shares.groupBy(_bin(F.col("kind"), F.col("bin")).alias("key")).agg(
@@ -180,7 +183,7 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     ``char_distance``, ``kept``.
 
     One pass over the texts takes counts and histograms, which are written; the
-    reference of a language is the mean histogram over all texts that say they are
+    reference of a language is the usual histogram of all texts that say they are
     in it.  A text is measured against the nearest reference, whatever it says its
     own language is.  It is kept if no base rule fails and no distance exceeds its
     limit; that of words counts from ``MIN_WORDS`` words, that of characters from
@@ -194,7 +197,7 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     rows = rows.withColumn("reference", reference.scalar())
     nothing = F.array(*[F.lit(0.0)] * len(COMMON_WORDS))
     met = F.transform(
-        "bins",
+        F.filter("bins", lambda b: b["share"] > 0),
         lambda b: F.struct(
             b["kind"].alias("kind"), b["share"].alias("share"),
             F.coalesce(F.element_at("reference", _bin(b["kind"], b["bin"])), nothing).alias("theirs"),
