@@ -242,10 +242,13 @@ def fit_classifier(patterns: DataFrame, model: dict) -> tuple[float, dict[str, f
     all_yes, all_no = weighed.agg(
         F.coalesce(F.sum(F.col("p") * F.col("n")), F.lit(0.0)), F.coalesce(F.sum((1 - F.col("p")) * F.col("n")), F.lit(0.0))
     ).first()
+    # A feature seen seldom is drawn towards the share of all spans, that is to weight 0.
+    share = (all_yes + 1) / (all_yes + all_no + 2)
     weights = {
-        r["feature"]: _log_odds((r["yes"] + 1) / (all_yes + 2), (r["no"] + 1) / (all_no + 2)) for r in sums
+        r["feature"]: _log_odds(r["yes"] + 2 * share, r["no"] + 2 * (1 - share)) - _log_odds(share, 1 - share)
+        for r in sums
     }
-    return _log_odds(all_yes + 1, all_no + 1), weights
+    return _log_odds(share, 1 - share), weights
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
