@@ -25,11 +25,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.shared import attach, bloom_of, bloom_tested, settled, text_or_empty
+from millrace.llm.shared import attach, bloom_of, bloom_tested, hot_keys, join_dealt, settled, text_or_empty
 
 WORDS = 5
 #: Documents are linked if 100 * shared shingles >= 75 * shingles of both.
@@ -85,6 +86,12 @@ def _digest(words: list[bytes]) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join(words))
 
 
+def _key(found: np.ndarray, rare: int, digest: bytes) -> int:
+    """8 bits for the share of rare shingles and 55 bits of the digest, so that the smallest
+    key of a region is that of the document to be its pivot."""
+    return (rare * 255 // len(found)) << 55 | int.from_bytes(digest[:8], "little") >> 9
+
+
 def _rows(texts: pa.Array):
     for text in texts:
         yield words_of(text.as_py() or "")
@@ -141,7 +148,7 @@ class _Corpus:
     texts: DataFrame
     rows: DataFrame
     classes: DataFrame
-    common: np.ndarray
+    sent: Broadcast  # the table of common shingles
     total: int
 
 
@@ -167,17 +174,13 @@ def _read(docs: DataFrame, id_col: str, text_col: str) -> _Corpus:
     common = np.zeros(COMMON_BITS // 64, np.int64)
     for word, bits in words:
         common[word] = bits
-    total = rows.count()
-    return _Corpus(texts, rows, classes, common.view(np.uint8), total)
+    sent = docs.sparkSession.sparkContext.broadcast(common.view(np.uint8))
+    return _Corpus(texts, rows, classes, sent, rows.count())
 
 
 def _placed(corpus: _Corpus) -> DataFrame:
-    """``key, digest, n, first`` of each document with shingles.
-
-    A key is 8 bits for the share of rare shingles and 55 bits of the digest, so that
-    the smallest key of a region is that of the document to be its pivot.
-    """
-    sent = corpus.texts.sparkSession.sparkContext.broadcast(corpus.common)
+    """``key, digest, n, first`` of each document with shingles."""
+    sent = corpus.sent
 
     def place(batches):
         for batch in batches:
@@ -188,7 +191,7 @@ def _placed(corpus: _Corpus) -> DataFrame:
                 found = shingles(words)
                 digest = _digest(words)
                 first, rare = first_few(found, sent.value)
-                keys.append((rare * 255 // len(found)) << 55 | int.from_bytes(digest[:8], "little") >> 9)
+                keys.append(_key(found, rare, digest))
                 digests.append(digest)
                 sizes.append(len(found))
                 firsts.append(first)
@@ -243,42 +246,57 @@ def _pairs_of_few(few: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.sum("regions").alias("shared"))
 
 
-def _measured(pairs: DataFrame, sets: DataFrame, total: int) -> DataFrame:
-    """``a, b, node_a, node_b, d``: the exact distances of ``pairs`` (``a, b``)."""
+def _measured(corpus: _Corpus, placed: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``a, b, digest_a, digest_b, d, linked``: the exact distances of ``pairs`` (``a, b``), written.
+
+    The sets of all documents in pairs are read from the texts and moved once, to
+    where the pairs are that name them; then each pair moves with one set.
+    """
+    ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
+    ends = settled(ends.groupBy("key").agg(F.count(F.lit(1)).alias("pairs")))
+    hot = settled(hot_keys(ends, "key", "pairs", 2 * pairs.count()))
+    digests = placed.select("key", "digest").join(ends.select("key"), "key", "left_semi").distinct()
+    sets = _sets(corpus, settled(digests.join(corpus.classes, "digest").select("least_id")))
     for side in ("b", "a"):
-        mine = sets.select(F.col("key").alias(side), F.col("node").alias(f"node_{side}"), F.col("found").alias(f"f_{side}"))
-        sizes = pairs.groupBy(side).agg(F.count(F.lit(1)).alias("pairs"))
-        pairs = attach(pairs, mine.join(sizes, side), side, "pairs", total).drop("pairs")
-    shared = F.size(F.array_intersect("f_a", "f_b"))
-    both = F.size("f_a") + F.size("f_b") - shared
-    return pairs.select(
-        "a", "b", "node_a", "node_b", (1 - shared / both).alias("d"), (100 * shared >= SIMILAR * both).alias("linked")
-    )
+        met = join_dealt(pairs.withColumnRenamed(side, "key"), sets, "key", hot)
+        pairs = met.withColumnsRenamed({"key": side, "digest": f"digest_{side}", "found": f"found_{side}"})
+    shared = F.size(F.array_intersect("found_a", "found_b"))
+    both = F.size("found_a") + F.size("found_b") - shared
+    return settled(pairs.select(
+        "a", "b", "digest_a", "digest_b", (1 - shared / both).alias("d"),
+        (100 * shared >= SIMILAR * both).alias("linked"),
+    ))
 
 
 def _sets(corpus: _Corpus, wanted: DataFrame) -> DataFrame:
-    """``key, node, n, found`` of the classes in ``wanted`` (``key, digest, node, least_id``)."""
-    n = wanted.count()
-    bloom, n_words = bloom_of(wanted.where("least_id is not null"), n, "least_id")
+    """``key, digest, found`` of the documents of the ids ``wanted``, and of a few more.
+
+    A filter of the ids says which texts to read again.
+    """
+    bloom, n_words = bloom_of(wanted.where("least_id is not null"), wanted.count(), "least_id")
     some = bloom_tested(corpus.texts, bloom, n_words, F.col("id")).where("id is null or maybe")
+    sent = corpus.sent
 
-    def found(batches):
+    def read(batches):
         for batch in batches:
-            rows = list(_rows(batch["text"]))
+            keys, digests, sets = [], [], []
+            for words in _rows(batch["text"]):
+                if words:
+                    found, digest = shingles(words), _digest(words)
+                    keys.append(_key(found, first_few(found, sent.value)[1], digest))
+                    digests.append(digest)
+                    sets.append(found)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_digest(w) for w in rows], pa.binary()), _lists([shingles(w) for w in rows])],
-                ["digest", "found"],
+                [pa.array(keys, pa.int64()), pa.array(digests, pa.binary()), _lists(sets)], ["key", "digest", "found"]
             )
 
-    read = some.select("text").mapInArrow(found, "digest binary, found array<long>")
-    return settled(wanted.join(read, "digest").dropDuplicates(["digest"]).select("key", "node", "n", "found"))
+    return some.select("text").mapInArrow(read, "key long, digest binary, found array<long>")
 
 
 def links(corpus: _Corpus) -> DataFrame:
     """``u, v``: edges between classes, whose components are those of all links."""
     placed = _placed(corpus)
     few, many = _regions(placed)
-    keys = placed.select("key", "digest").distinct().join(corpus.classes, "digest")
     sizes = settled(placed.groupBy("key").agg(F.max("n").alias("n")))
     # Of a key in crowded regions, which these are.
     crowds = settled(many.groupBy("key").agg(F.sort_array(F.collect_set("hash")).alias("crowds")))
@@ -294,17 +312,15 @@ def links(corpus: _Corpus) -> DataFrame:
     close = close.where(_possible(F.col("shared") + F.col("in_crowds"))).select("a", "b")
     star = many.where("key <> pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
     star = with_sizes(star).where(_possible(F.least("n_a", "n_b"))).select("a", "b")
-    pairs = settled(close.unionByName(star).distinct())
-    total = pairs.count()
-    involved = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
-    involved = involved.unionByName(crowds.select("key")).distinct()
-    sets = _sets(corpus, settled(keys.join(involved, "key", "left_semi")))
-    measured = settled(_measured(pairs, sets, total))
+    measured = _measured(corpus, placed, settled(close.unionByName(star).distinct()))
     left = settled(_left_over(many, crowds, sizes, measured))
-    beyond = _measured(left, sets, left.count())
-    edges = measured.unionByName(beyond).where("linked")
-    # Two classes of one key, by chance, are apart; so nodes are linked, not keys.
-    return edges.select(F.col("node_a").alias("u"), F.col("node_b").alias("v"))
+    edges = measured if left.isEmpty() else measured.unionByName(_measured(corpus, placed, left))
+    # Two classes of one key, by chance, are apart; so classes are linked, not keys.
+    edges = edges.where("linked").select("digest_a", "digest_b").distinct()
+    nodes = corpus.classes.select("digest", "node")
+    for side, name in (("digest_a", "u"), ("digest_b", "v")):
+        edges = edges.join(nodes.select(F.col("digest").alias(side), F.col("node").alias(name)), side)
+    return edges.select("u", "v")
 
 
 def _left_over(many: DataFrame, crowds: DataFrame, sizes: DataFrame, measured: DataFrame) -> DataFrame:

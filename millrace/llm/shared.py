@@ -52,7 +52,7 @@ def bloom_mask(*hashed: Column) -> Column:
     return parts[0].bitwiseOR(parts[1]).bitwiseOR(parts[2]).alias("mask")
 
 
-def bloom_of(values: DataFrame, n: int, column: str, per_word: int = 8) -> tuple[DataFrame, int]:
+def bloom_of(values: DataFrame, n: int, column: str, per_word: int = 4) -> tuple[DataFrame, int]:
     """The words (``word, bits``) of a filter of ``n`` values, and how many there can be."""
     n_words = max(1, n // per_word)
     words = values.groupBy(bloom_word(F.col(column), n_words=n_words)).agg(
@@ -73,20 +73,27 @@ def bloom_tested(rows: DataFrame, bloom: DataFrame, n_words: int, *hashed: Colum
     return met.join(small, "word", "left").withColumn("maybe", hit).drop("word", "mask", "bits")
 
 
-def attach(rows: DataFrame, table: DataFrame, key: str, size: str, total: int) -> DataFrame:
-    """``rows`` with the columns of ``table``, which has one row per ``key`` and, in
-    ``size``, how many rows of ``rows`` the key has (``total`` together, at least).
-
-    Keys of more than a thousandth of all rows, of which there are at most a
-    thousand, are dealt over several parts, by the partition a row comes from;
-    their row of ``table`` is repeated for each part.
-    """
+def hot_keys(sizes: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """``key, _parts`` of the keys with more than a thousandth of ``total`` rows, so of a
+    thousand at most: over how many parts to deal each."""
     limit = max(1, total // HOT_SHARE)
     parts = F.ceil(F.col(size) / limit).cast("int")
-    hot = F.broadcast(table.where(F.col(size) > limit).select(key, parts.alias("_parts")))
-    dealt = rows.join(hot, key, "left").withColumn(
-        "_part", F.coalesce(F.pmod(F.spark_partition_id(), F.col("_parts")), F.lit(0))
+    return sizes.where(F.col(size) > limit).select(key, parts.alias("_parts"))
+
+
+def join_dealt(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """``rows`` joined with ``table`` on ``key``; rows of the ``hot`` keys are dealt over
+    several parts, by the partition they come from, and their rows of ``table`` are
+    repeated for each part."""
+    parts = F.coalesce(F.col("_parts"), F.lit(1))
+    dealt = rows.join(F.broadcast(hot), key, "left").withColumn("_part", F.pmod(F.spark_partition_id(), parts))
+    repeated = table.join(F.broadcast(hot), key, "left").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), parts - 1))
     )
-    last = F.when(F.col(size) > limit, parts - 1).otherwise(F.lit(0))
-    repeated = table.withColumn("_part", F.explode(F.sequence(F.lit(0), last)))
-    return dealt.drop("_parts").join(repeated, [key, "_part"]).drop("_part")
+    return dealt.drop("_parts").join(repeated.drop("_parts"), [key, "_part"]).drop("_part")
+
+
+def attach(rows: DataFrame, table: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has one row per ``key`` and, in
+    ``size``, how many rows of ``rows`` the key has (``total`` together, at least)."""
+    return join_dealt(rows, table, key, hot_keys(table, key, size, total))
