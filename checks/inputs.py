@@ -164,8 +164,3 @@ def stream_rounds(spark: SparkSession, sf_dir: str, late: bool) -> list[DataFram
     closing = spark.createDataFrame([(-1, "{}", str(_FAR_MS))], STREAM_SCHEMA)
     rounds[-1] = rounds[-1].unionByName(closing)
     return rounds
-
-
-def shard_count(spark: SparkSession, sf_dir: str) -> int:
-    """Shards per window, growing with the table so that a shard does not."""
-    return max(4, events(spark, sf_dir).count() // 50_000)

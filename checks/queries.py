@@ -17,7 +17,6 @@ from checks.inputs import (
     late_arrivals,
     lines,
     ntz,
-    shard_count,
     table,
 )
 from checks.replay import replay
@@ -231,8 +230,14 @@ def cogroup_hot(spark, sf_dir):
 
 @query
 def format_cogroup(spark, sf_dir):
-    blocks = grouping.cogroup_blocks(*_finance(spark, sf_dir), ACCOUNT, "Amount", ordered=True)
-    return blocks.select("key", "block")
+    groups = grouping.cogroup(*_finance(spark, sf_dir), ACCOUNT, ["Amount"])
+    return grouping.format_cogroup(groups, "Amount", ordered=True).select("key", "block")
+
+
+@query
+def cogroup_lines(spark, sf_dir):
+    """The text of every account, line by line."""
+    return grouping.cogroup_lines(*_finance(spark, sf_dir), ACCOUNT, "Amount", ordered=True)
 
 
 @query
@@ -244,9 +249,9 @@ def account_blocks_files(spark, sf_dir):
 
 @query
 def account_blocks_hot_files(spark, sf_dir):
-    """The same with groups cut at three records."""
+    """The same with the lines of an account in order."""
     target = scratch_path(spark, "blocks")
-    account_blocks.run(spark, *finance_files(spark, sf_dir), target, max_group_rows=3)
+    account_blocks.run(spark, *finance_files(spark, sf_dir), target, ordered=True)
     return scan_text(spark, target)
 
 
@@ -590,26 +595,37 @@ def stream_source(spark, sf_dir):
     return read.select("event_id", ntz(F.col("event_ts")).alias("event_ts"), "payload")
 
 
-@query
-def trig_watermark(spark, sf_dir):
+DAY_MS = 86_400_000
+NEVER_MS = 10**15
+
+
+def _closed_hours(spark: SparkSession, sf_dir: str, late: bool, allowed_lateness_ms: int) -> DataFrame:
     def start(sent, target, checkpoint):
         closed = closed_windows(
-            sent, "event_ts", hours(1), F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("sum_ids")
+            sent, "event_ts", hours(1), F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("sum_ids"),
+            allowed_lateness_ms=allowed_lateness_ms,
         )
         return closed.writeStream.outputMode("append").format("parquet").option(
             "path", target
         ).option("checkpointLocation", checkpoint)
 
-    closed = spark.read.parquet(replay(spark, sf_dir, start))
+    closed = spark.read.parquet(replay(spark, sf_dir, start, late=late))
     return closed.select(*_bounds(), "n", "sum_ids")
 
 
-DAY_MS = 86_400_000
-NEVER_MS = 10**15
+@query
+def trig_watermark(spark, sf_dir):
+    return _closed_hours(spark, sf_dir, late=False, allowed_lateness_ms=0)
+
+
+@query
+def trig_watermark_late(spark, sf_dir):
+    """A third of the messages three days late, two days of which are allowed."""
+    return _closed_hours(spark, sf_dir, late=True, allowed_lateness_ms=2 * DAY_MS)
 
 
-def _shard_of(spark: SparkSession, sf_dir: str) -> Column:
-    return F.pmod(F.col("event_id"), F.lit(shard_count(spark, sf_dir)))
+def _shard_of() -> Column:
+    return F.pmod(F.col("event_id"), F.lit(4))
 
 
 def _stream_panes(spark: SparkSession, sf_dir: str, early: Trigger | None, late: Trigger | None) -> DataFrame:
@@ -617,7 +633,7 @@ def _stream_panes(spark: SparkSession, sf_dir: str, early: Trigger | None, late:
     def start(sent, target, checkpoint):
         cut = stream_panes(
             sent, "event_ts", days(1), DAY_MS, early, late,
-            shards=_shard_of(spark, sf_dir),
+            shards=_shard_of(),
         )
         return cut.writeStream.outputMode("append").format("parquet").option(
             "path", target
@@ -665,7 +681,7 @@ def pane_files_stream(spark, sf_dir):
     def start(sent, target, checkpoint):
         return pane_files.writer(
             sent, target, checkpoint, size=days(1), allowed_lateness_ms=DAY_MS, pane_elements=20,
-            late_delay_ms=NEVER_MS, shards=_shard_of(spark, sf_dir),
+            late_delay_ms=NEVER_MS, shards=_shard_of(),
         )
 
     read = spark.read.text(replay(spark, sf_dir, start, late=True)).where(F.col("value") != "{}")

@@ -212,7 +212,7 @@ FROM met
 ACCEPTED = """
 WITH sent AS (
   SELECT event_id, date_trunc('milliseconds', ts) AS event_ts, date_trunc('day', ts) AS window_start,
-    event_id % greatest(4, (SELECT count(*) FROM events) // 50000) AS shard,
+    event_id % 4 AS shard,
     least((date_diff('day', TIMESTAMP '2024-01-01', ts) +
       CASE WHEN event_id % 3 = 0 THEN 3 ELSE 0 END) // 11, 2) AS turn
   FROM events
@@ -322,6 +322,11 @@ FROM ({FINANCE}) GROUP BY 1, 2""",
 SELECT AccountDescription AS key, AccountDescription ||
   string_agg(chr(10) || chr(9) || CAST(Amount AS VARCHAR), '' ORDER BY side, Amount) AS block
 FROM ({FINANCE}) GROUP BY 1""",
+    "cogroup_lines": f"""
+WITH finance AS ({FINANCE})
+SELECT DISTINCT AccountDescription AS key, 0 AS side, AccountDescription AS line FROM finance
+UNION ALL SELECT AccountDescription, side, chr(9) || CAST(Amount AS VARCHAR) FROM finance
+""",
     "account_blocks_files": BLOCK_LINES,
     "account_blocks_hot_files": BLOCK_LINES,
     "json_project_schema": messages(),
@@ -380,6 +385,12 @@ FROM ({panes('1 day', 100)}) GROUP BY window_start, pane_index""",
     "trig_watermark": f"""
 SELECT {bucket('1 hour')} AS window_start, {bucket('1 hour')} + INTERVAL 1 HOUR AS window_end,
   count(*) AS n, CAST(sum(event_id) AS BIGINT) AS sum_ids FROM events GROUP BY 1, 2""",
+    "trig_watermark_late": f"""{ACCEPTED}
+SELECT {bucket('1 hour', 'event_ts')} AS window_start, {bucket('1 hour', 'event_ts')} + INTERVAL 1 HOUR AS window_end,
+  count(*) AS n, CAST(sum(event_id) AS BIGINT) AS sum_ids
+FROM sent JOIN marks USING (turn)
+WHERE watermark IS NULL OR {bucket('1 hour', 'event_ts')} + INTERVAL 1 HOUR > watermark - INTERVAL 2 DAYS
+GROUP BY 1, 2""",
     "trig_early_count_stream": fired(counted(20), counted(7)),
     "trig_early_time": fired(BY_TURN, BY_TURN),
     "trig_late_time": fired(AT_END, BY_TURN),

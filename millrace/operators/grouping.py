@@ -1,29 +1,26 @@
 """Records grouped by key, and two inputs co-grouped by key.
 
 A key may hold a third of all rows, so no group is ever one array without a
-bound: a key with more than ``max_group_rows`` records comes as several rows,
-numbered by ``part``.  Any other key is one row with ``part = 0``, which is every
-row unless the data has such a key.
+bound: every key comes as ``n_parts`` rows, numbered by ``part`` from 0, of
+``max_group_rows`` records each but for the last.  Text is made without arrays,
+one line a row, by ``cogroup_lines``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.session import settled
-
 MAX_GROUP_ROWS = 200_000
-# A hot key stands for more than max_group_rows records, so there are few of
-# them; up to this many are sent to the executors, more are joined by shuffle.
-MAX_BROADCAST_KEYS = 100_000
+# A key's records are counted in so many slices, so that no task sees a whole hot key.
+_SLICES = 64
 
-_COUNT = "_count"
-_PARTS = "_parts"
+_KEY = "_key"
 _SIDE = "_side"
 _RECORD = "_record"
+_N, _SLICE, _UPTO, _TOTAL = "_n", "_slice", "_upto", "_total"
 
 
 def key_by(df: DataFrame, field: str | Column, key: str = "key") -> DataFrame:
@@ -35,45 +32,41 @@ def values_only(df: DataFrame, key: str = "key") -> DataFrame:
     return df.drop(key)
 
 
-def _crowded(keyed: DataFrame, limit: int) -> tuple[DataFrame, bool] | None:
-    """Keys of more than ``limit`` rows and the parts to cut each into, and
-    whether they may be broadcast; None if there is no such key.
+def _parts(tagged: DataFrame, limit: int) -> DataFrame:
+    """``(key, part, n_parts, records)``, the records with their ``side``, left ones first.
 
-    Counted before the rows move: the count reads the key column alone and its
-    shuffle carries one partial count per key and task.
+    Records that are alike are counted before they move, so copies do not crowd a
+    task.  A record's place in its key follows from sums, first within a slice of
+    the key, which a hash of the record tells, then over the slices; so it is the
+    same whenever it is worked out again.
     """
-    found = (
-        keyed.groupBy("key")
-        .agg(F.count(F.lit(1)).alias(_COUNT))
-        .where(F.col(_COUNT) > limit)
-        .select("key", F.ceil(F.col(_COUNT) / limit).cast("int").alias(_PARTS))
+    alike = tagged.groupBy(F.struct("key").alias(_KEY), _SIDE, _RECORD).agg(F.count(F.lit(1)).alias(_N))
+    # The key is in a struct, as a NULL in one equals another.
+    slice_ = F.col(_SIDE) * _SLICES + F.pmod(F.xxhash64(_RECORD), F.lit(_SLICES))
+    alike = alike.withColumn(_SLICE, slice_)
+    sums = alike.groupBy(_KEY, _SLICE).agg(F.sum(_N).alias(_N))
+    earlier = Window.partitionBy(_KEY).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(
+        _KEY, _SLICE, F.coalesce(F.sum(_N).over(earlier), F.lit(0)).alias("_before"),
+        F.sum(_N).over(Window.partitionBy(_KEY)).alias(_TOTAL),
+    )
+    within = Window.partitionBy(_KEY, _SLICE).orderBy(_RECORD).rowsBetween(Window.unboundedPreceding, 0)
+    placed = alike.withColumn(_UPTO, F.sum(_N).over(within)).join(sums, [_KEY, _SLICE])
+    placed = placed.withColumn(_UPTO, F.col(_UPTO) + F.col("_before"))
+    first, last = F.floor((F.col(_UPTO) - F.col(_N)) / limit), F.floor((F.col(_UPTO) - 1) / limit)
+    cut = placed.withColumn("part", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
+    here = F.least(F.col(_UPTO), (F.col("part") + 1) * limit) - F.greatest(
+        F.col(_UPTO) - F.col(_N), F.col("part") * limit
     )
-    rows = found.limit(MAX_BROADCAST_KEYS + 1).collect()
-    if not rows:
-        return None
-    if len(rows) > MAX_BROADCAST_KEYS:
-        return settled(found), False
-    return keyed.sparkSession.createDataFrame(rows, found.schema), True
-
-
-def _with_part(keyed: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None]:
-    """The rows with their ``part`` (and the number of parts their key is cut
-    into), and the crowded keys if there are any."""
-    crowded = _crowded(keyed, limit)
-    if crowded is None:
-        return keyed.withColumn("part", F.lit(0)).withColumn(_PARTS, F.lit(0)), None
-    keys, small = crowded
-    # Not by content: the records of a hot key may all be copies of one record.
-    # A seeded draw, made right on the scan, is the same again when a lost task
-    # reads its rows anew.
-    joined = keyed.withColumn("_draw", F.rand(0)).alias("r").join(
-        (F.broadcast(keys) if small else keys).alias("c"),
-        F.col("r.key").eqNullSafe(F.col("c.key")),
-        "left",
+    record = F.struct(F.col(_SIDE).alias("side"), F.col(_RECORD).alias("record"), here.cast("int").alias("n"))
+    groups = cut.groupBy(_KEY, "part").agg(
+        F.first(F.ceil(F.col(_TOTAL) / limit).cast("int")).alias("n_parts"), F.collect_list(record).alias("_records")
     )
-    parts = F.coalesce(F.col(_PARTS), F.lit(0))
-    part = F.when(parts == 0, 0).otherwise(1 + F.floor(F.col("_draw") * parts)).cast("int")
-    return joined.select("r.*", part.alias("part"), parts.alias(_PARTS)).drop("_draw"), keys
+    return groups.select(F.col(_KEY)["key"].alias("key"), "part", "n_parts", "_records")
+
+
+def _repeated(records: Column) -> Column:
+    return F.flatten(F.transform(records, lambda r: F.array_repeat(r["record"], r["n"])))
 
 
 def group_by_key(
@@ -82,32 +75,23 @@ def group_by_key(
     values: Sequence[str],
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """``(key, part, records)``: all records per key, order undefined.
+    """``(key, part, n_parts, records)``: all records per key, order undefined.
 
-    ``values`` names the fields wanted later; nothing else is shuffled.  ``df``
-    should come straight from a scan or a checkpoint, so that the draw that cuts a
-    hot key can be repeated.
+    ``values`` names the fields wanted later, of types that can be compared;
+    nothing else is shuffled.
     """
-    keyed = df.select(F.col(key).alias("key"), F.struct(*values).alias(_RECORD))
-    parted, _ = _with_part(keyed, max_group_rows)
-    return parted.groupBy("key", "part").agg(F.collect_list(_RECORD).alias("records"))
+    tagged = df.select(F.col(key).alias("key"), F.lit(1).alias(_SIDE), F.struct(*values).alias(_RECORD))
+    return _parts(tagged, max_group_rows).select(
+        "key", "part", "n_parts", _repeated(F.col("_records")).alias("records")
+    )
 
 
-def _cogroup(left: DataFrame, right: DataFrame, key: str, values: Sequence[str],
-             max_group_rows: int) -> tuple[DataFrame, DataFrame | None]:
-    tagged = [
+def _tagged(left: DataFrame, right: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
+    sides = [
         df.select(F.col(key).alias("key"), F.lit(n).alias(_SIDE), F.struct(*values).alias(_RECORD))
         for n, df in ((1, left), (2, right))
     ]
-    parted, crowded = _with_part(tagged[0].unionByName(tagged[1]), max_group_rows)
-    # A hot key lists all parts of its left side before those of the right.
-    late = (F.col("part") > 0) & (F.col(_SIDE) == 2)
-    part = (F.col("part") + F.when(late, F.col(_PARTS)).otherwise(0)).alias("part")
-    lists = [
-        F.collect_list(F.when(F.col(_SIDE) == n, F.col(_RECORD))).alias(name)
-        for n, name in ((1, "p1"), (2, "p2"))
-    ]
-    return parted.groupBy("key", part).agg(*lists), crowded
+    return sides[0].unionByName(sides[1])
 
 
 def cogroup(
@@ -117,52 +101,65 @@ def cogroup(
     values: Sequence[str],
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """``(key, part, p1, p2)``: every key of either side with its records from
-    both; a side that lacks the key has an empty array.
+    """``(key, part, n_parts, p1, p2)``: every key of either side with its records
+    from both; a side that lacks the key has an empty array.
 
-    One union and one shuffle do what grouping both sides and a full outer join
-    would do with three.
+    One union is grouped, where grouping both sides and a full outer join would
+    move the rows three times.  All records of the left come before those of the
+    right, also over several parts.
     """
-    return _cogroup(left, right, key, values, max_group_rows)[0]
+    groups = _parts(_tagged(left, right, key, values), max_group_rows)
+    sides = [
+        _repeated(F.filter("_records", _of_side(n))).alias(name)
+        for n, name in ((1, "p1"), (2, "p2"))
+    ]
+    return groups.select("key", "part", "n_parts", *sides)
+
+
+def _of_side(n: int):
+    return lambda record: record["side"] == n
+
+
+def _java_text(value: Column) -> Column:
+    return F.coalesce(value.cast("string"), F.lit("null"))
+
+
+def _line(value: Column) -> Column:
+    return F.concat(F.lit("\t"), _java_text(value))
 
 
 def format_cogroup(groups: DataFrame, value: str, ordered: bool = False) -> DataFrame:
     """``(key, part, block)``: the key, then a line with a tab and ``value`` for
-    every left record and every right record.
+    every left record and every right record; parts after the first have lines only.
 
-    The order within a side is undefined unless ``ordered``.  The parts of a hot
-    key (``part > 0``) hold lines only: see ``cogroup_blocks``.
+    The order within a side is undefined unless ``ordered``, which sorts each side
+    of a part; ``cogroup_lines`` sorts keys of any size.
     """
     sides = [F.col(side)[value] for side in ("p1", "p2")]
     if ordered:
         sides = [F.sort_array(side) for side in sides]
-    lines = F.transform(F.concat(*sides), lambda v: F.concat(F.lit("\t"), _java_text(v)))
-    whole = F.array_join(F.concat(F.array("key"), lines), "\n")
-    block = F.when(F.col("part") == 0, whole).otherwise(F.array_join(lines, "\n"))
-    return groups.select("key", "part", block.alias("block"))
-
-
-def _java_text(value: Column) -> Column:
-    return F.coalesce(value.cast("string"), F.lit("null"))
+    lines = F.transform(F.concat(*sides), _line)
+    heading = F.when(F.col("part") == 0, F.array(_java_text(F.col("key")))).otherwise(F.array().cast("array<string>"))
+    return groups.select("key", "part", F.array_join(F.concat(heading, lines), "\n").alias("block"))
 
 
-def cogroup_blocks(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    value: str,
-    max_group_rows: int = MAX_GROUP_ROWS,
-    ordered: bool = False,
-) -> DataFrame:
-    """One text block per key, out of both inputs.
+def cogroup_lines(left: DataFrame, right: DataFrame, key: str, value: str, ordered: bool = False) -> DataFrame:
+    """``(key, side, line)``, in the order of the text: for each key a line with the
+    key (side 0), those of the left (1) and those of the right (2).
 
-    A hot key has its heading as part 0 and its lines as the parts after it;
-    written in the order of ``(key, part)``, one per line, they read as one block.
+    One shuffle by ranges of key, side and place in the input, whatever the size of
+    a key: a hot key covers several partitions, and written out it reads as one
+    block over consecutive files.
     """
-    groups, crowded = _cogroup(left, right, key, [value], max_group_rows)
-    blocks = format_cogroup(groups, value, ordered)
-    if crowded is None:
-        return blocks
-    headings = crowded.select("key", F.lit(0).alias("part"), F.col("key").alias("block"))
-    parts = blocks.unionByName(headings)
-    return parts.repartitionByRange("key", "part").sortWithinPartitions("key", "part")
+    rows = _tagged(left, right, key, [value]).select(
+        "key", F.col(_SIDE).alias("side"), F.col(_RECORD)[value].alias("value"),
+        F.monotonically_increasing_id().alias("_scan"),
+    )
+    headings = rows.select("key").distinct().select(
+        "key", F.lit(0).alias("side"), F.lit(None).cast(rows.schema["value"].dataType).alias("value"),
+        F.lit(-1).cast("long").alias("_scan"),
+    )
+    order = ["key", "side", "value", "_scan"] if ordered else ["key", "side", "_scan"]
+    laid = headings.unionByName(rows).repartitionByRange(*order).sortWithinPartitions(*order)
+    line = F.when(F.col("side") == 0, _java_text(F.col("key"))).otherwise(_line(F.col("value")))
+    return laid.select("key", "side", line.alias("line"))

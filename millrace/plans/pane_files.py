@@ -22,7 +22,7 @@ def panes(
     allowed_lateness_ms: int = ALLOWED_LATENESS_MS,
     pane_elements: int = PANE_ELEMENTS,
     late_delay_ms: int = LATE_DELAY_MS,
-    shards: int | Column | None = None,
+    shards: int | Column = 1,
 ) -> DataFrame:
     return stream_panes(
         messages,

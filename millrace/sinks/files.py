@@ -74,9 +74,11 @@ def write_pane_files(
     payload: str,
     order: Sequence[str | Column],
     mode: str = "errorifexists",
+    separator: str = "\n",
 ) -> None:
-    """One file per pane, below ``<last millisecond of the window>/<pane index>``,
-    one element to a line.
+    """One file per pane, below ``window_max_ts=<last millisecond of the window>/
+    pane_index=<n>``, ``separator`` after each element.  For elements back to back
+    see ``write_pane_bodies``.
 
     A pane is the unit of the shuffle and has a bounded size, so nothing is
     collected: the file is written as its rows arrive, in ``order``.
@@ -92,6 +94,7 @@ def write_pane_files(
         .sortWithinPartitions("window_max_ts", "pane_index", "_order")
         .select("window_max_ts", "pane_index", F.col("_payload").alias("value"))
         .write.mode(mode)
+        .option("lineSep", separator)
         .partitionBy("window_max_ts", "pane_index")
         .text(path)
     )
@@ -99,7 +102,14 @@ def write_pane_files(
 
 def write_pane_bodies(files: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """The ``(path, n_elements, body)`` rows of ``pane_files``, one file each, for
-    bodies whose elements are joined by another separator or by none."""
-    files.select("path", F.col("body").alias("value")).repartition("path").write.mode(
-        mode
-    ).partitionBy("path").text(path)
+    bodies whose elements are joined by another separator or by none.
+
+    A path ``<prefix>/<last millisecond>/<pane index>`` becomes the folders
+    ``prefix=../window_max_ts=../pane_index=..``, as of ``write_pane_files``.
+    """
+    at = F.split("path", "/")
+    last = {"window_max_ts": F.get(at, F.size(at) - 2), "pane_index": F.get(at, F.size(at) - 1)}
+    prefix = F.array_join(F.slice(at, F.lit(1), F.greatest(F.size(at) - 2, F.lit(0))), "/")
+    files.select(prefix.alias("prefix"), *[c.alias(n) for n, c in last.items()], F.col("body").alias("value")).repartition(
+        "prefix", *last
+    ).write.mode(mode).partitionBy("prefix", *last).text(path)

@@ -30,8 +30,6 @@ _FIXED = (_START, _END, _SHARD, "pane_index", "timing", "is_first", "is_last")
 # this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Shards are hashed to partitions: several to each even out.
-_SHARDS_PER_PARTITION = 4
 _BLOCK = 1000  # rows put into the state at a time
 
 
@@ -199,15 +197,17 @@ def stream_panes(
     allowed_lateness_ms: int,
     early: Trigger | None = None,
     late: Trigger | None = None,
-    shards: int | Column | None = None,
+    shards: int | Column = 1,
 ) -> DataFrame:
     """The columns of ``df`` with ``window``, ``shard``, ``pane_index``, ``timing``,
     ``is_first`` and ``is_last``; write it in append mode.
 
     Nearly all rows of the moment are in one window, so a window is spread over
-    ``shards`` pane sequences, each with a state of its own: so many, or by the
-    value of a column, or four per shuffle partition if left out.  1 gives one
-    sequence per window, and one task all the work.  Without ``early`` a window waits for its end, without
+    ``shards`` pane sequences, each with a state of its own: so many, by a hash of
+    the whole row, or by the value of a column, such as a message number where
+    many messages are alike.  1 gives one sequence per window, and one task all
+    the work.  What panes there are depends on the shards, so they are never taken
+    from the cluster's settings.  Without ``early`` a window waits for its end, without
     ``late`` nothing follows its on-time pane.
 
     The watermark a row meets is the latest event time of the micro-batches
@@ -215,6 +215,9 @@ def stream_panes(
     known only when a window is given up: it is true for a pane fired then.
     The session must use ``STATE_PROVIDER``.
     """
+    added = {"window", *_FIXED} & {c.lower() for c in df.columns}
+    if added:
+        raise ValueError(f"rename {sorted(added)}: stream_panes adds columns of these names")
     slack_ms = size.longest_micros // 1000 + allowed_lateness_ms
     window = window_for(F.col(event_ts), size)
     columns = df.columns
@@ -256,14 +259,9 @@ def stream_panes(
     )
 
 
-def _shard(df: DataFrame, shards: int | Column | None) -> Column:
+def _shard(df: DataFrame, shards: int | Column) -> Column:
     if isinstance(shards, Column):
         return shards.cast("int")
-    if shards is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        shards = partitions * _SHARDS_PER_PARTITION
     if shards == 1:
         return F.lit(0)
-    # Not by content, so that copies of one message do not meet in one shard.  A
-    # seeded draw is the same again when a lost task reads its rows anew.
-    return F.floor(F.rand(0) * shards).cast("int")
+    return F.pmod(F.xxhash64(*df.columns), F.lit(shards)).cast("int")

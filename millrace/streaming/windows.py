@@ -8,17 +8,20 @@ from pyspark.sql import functions as F
 from millrace.functions.windows import WindowSize
 
 
-def closed_windows(df: DataFrame, event_ts: str, size: WindowSize, *aggregates: Column) -> DataFrame:
+def closed_windows(df: DataFrame, event_ts: str, size: WindowSize, *aggregates: Column,
+                   allowed_lateness_ms: int = 0) -> DataFrame:
     """One row per window, ``window`` and the aggregates, for append mode.
 
     Partial aggregates are made where the rows are read, so a hot window shuffles
-    one row per task.  Months need ``stream_panes``: a month is no interval that
+    one row per task.  A window waits for rows up to ``allowed_lateness_ms`` after
+    its end; rows later than that are left out, and counted by Spark in the
+    ``numRowsDroppedByWatermark`` of the query's progress.  Months need ``stream_panes``: a month is no interval that
     a watermark can close here.
     """
     if size.unit == "month":
         raise ValueError("calendar months cannot be closed by a watermark; use stream_panes")
     return (
-        df.withWatermark(event_ts, "0 seconds")
+        df.withWatermark(event_ts, f"{allowed_lateness_ms} milliseconds")
         .groupBy(F.window(event_ts, size.interval))
         .agg(*aggregates)
     )

@@ -43,7 +43,11 @@ def test_line_is_split_once(spark):
 def test_lenient_reading(spark, tmp_path):
     path = str(tmp_path / "f.csv")
     write_text(spark.createDataFrame([('1,"x,y",b,c,d,e,2',), ("",), ("bad",)], "value string"), path)
-    assert [r["DateKey"] for r in scan_finance_csv(spark, path).collect()] == ["x,y"]
+    rows = scan_finance_csv(spark, path)
+    assert [r["DateKey"] for r in rows.collect()] == ["x,y"]
+    # Whichever columns are used.
+    assert rows.count() == 1 and rows.select("DateKey").count() == 1
+    assert [tuple(r) for r in rows.select("AccountDescription").collect()] == [("e",)]
 
 
 PART1 = ["1,d,o,g,s,Cash,3.0", "2,d,o,g,s,Cash,1.0", "3,d,o,g,s,Left,1.0E7"]
@@ -57,10 +61,8 @@ def test_cogroup_has_keys_of_either_side(spark):
 
 
 def test_blocks(spark):
-    blocks = grouping.cogroup_blocks(
-        _parse(spark, *PART1), _parse(spark, *PART2), ACCOUNT, "Amount", ordered=True
-    )
-    assert sorted(r["block"] for r in blocks.collect()) == [
+    groups = grouping.cogroup(_parse(spark, *PART1), _parse(spark, *PART2), ACCOUNT, ["Amount"])
+    assert sorted(r["block"] for r in grouping.format_cogroup(groups, "Amount", ordered=True).collect()) == [
         "Cash\n\t1.0\n\t3.0\n\t2.0", "Left\n\t1.0E7", "Right\n\t0.5",
     ]
 
@@ -78,40 +80,55 @@ def _copies(spark, n):
     return hot.unionByName(spark.createDataFrame([("a", 2.0), ("b", 3.0), (None, 4.0)], "key string, v double"))
 
 
-def test_hot_key_of_copies_is_cut_and_whole(spark):
-    groups = grouping.group_by_key(_copies(spark, 5000), "key", ["v"], max_group_rows=500)
-    sizes = groups.select("key", "part", F.size("records").alias("n")).collect()
-    hot = [r["n"] for r in sizes if r["key"] == "hot"]
-    assert sum(hot) == 5000 and len(hot) == 10 and max(hot) < 1000
-    assert sorted((str(r["key"]), r["part"], r["n"]) for r in sizes if r["key"] != "hot") == [
-        ("None", 0, 1), ("a", 0, 1), ("b", 0, 1),
-    ]
-
-
-def test_hot_blocks_read_as_one_block(spark, tmp_path):
-    cut, whole = str(tmp_path / "cut"), str(tmp_path / "whole")
+@pytest.mark.parametrize("limit", [1, 10, 500, 10**6])
+def test_one_shape_at_every_size(spark, limit):
+    rows = _copies(spark, 5000).unionByName(spark.range(300).selectExpr("'hot' AS key", "cast(id AS double) AS v"))
+    groups = grouping.group_by_key(rows, "key", ["v"], max_group_rows=limit).collect()
+    by_key = {}
+    for r in groups:
+        by_key.setdefault(r["key"], []).append(r)
+    for parts in by_key.values():
+        parts.sort(key=lambda r: r["part"])
+        assert [r["part"] for r in parts] == list(range(parts[0]["n_parts"])) and len({r["n_parts"] for r in parts}) == 1
+        assert all(len(r["records"]) == limit for r in parts[:-1]) and 0 < len(parts[-1]["records"]) <= limit
+    got = {k: sorted(x["v"] for r in parts for x in r["records"]) for k, parts in by_key.items()}
+    assert got == {"hot": sorted([1.0] * 5000 + [float(n) for n in range(300)]), "a": [2.0], "b": [3.0], None: [4.0]}
+
+
+@pytest.mark.parametrize("limit", [1, 7, 10**6])
+def test_cogroup_has_its_left_side_first_over_all_parts(spark, limit):
+    left, right = _copies(spark, 40), _copies(spark, 25).where("key = 'hot' OR key IS NULL")
+    groups = grouping.cogroup(left, right, "key", ["v"], max_group_rows=limit)
+    blocks = grouping.format_cogroup(groups, "v", ordered=True).orderBy("key", "part").collect()
+    text = {}
+    for r in blocks:
+        text.setdefault(r["key"], []).append(r["block"])
+    assert {k: "\n".join(parts).split("\n") for k, parts in text.items()} == {
+        "hot": ["hot"] + ["\t1.0"] * 65, "a": ["a", "\t2.0"], "b": ["b", "\t3.0"], None: ["null", "\t4.0", "\t4.0"],
+    }
+    sides = [(len(r["p1"]), len(r["p2"])) for r in groups.where("key = 'hot'").orderBy("part").collect()]
+    assert sum(a for a, _ in sides) == 40 and sides == sorted(sides, key=lambda s: (s[0] == 0, s[1] > 0))
+
+
+@pytest.mark.parametrize("ordered", [False, True])
+def test_lines_read_as_one_block_for_each_key(spark, tmp_path, ordered):
     for path, lines in (("p1", PART1 + [f"{n},d,o,g,s,Hot,1.0" for n in range(60)]),
                         ("p2", PART2 + [f"{n},d,o,g,s,Hot,2.0" for n in range(40)])):
         write_text(spark.createDataFrame([(t,) for t in lines], "value string"), str(tmp_path / path))
-    parts = str(tmp_path / "p1"), str(tmp_path / "p2")
-    account_blocks.run(spark, *parts, cut, max_group_rows=10)
-    account_blocks.run(spark, *parts, whole)
-    lines = [p.read_text().splitlines() for p in sorted((tmp_path / "cut").glob("part-*"))]
-    lines = [line for part in lines for line in part]
-    at = lines.index("Hot")
-    assert lines[at + 1:at + 101] == ["\t1.0"] * 60 + ["\t2.0"] * 40
-    assert sorted(lines) == sorted(r["value"] for r in spark.read.text(whole).collect())
-
-
-def test_many_hot_keys_are_joined_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(grouping, "MAX_BROADCAST_KEYS", 0)
-    groups = grouping.group_by_key(_copies(spark, 100), "key", ["v"], max_group_rows=10)
-    assert groups.agg(F.sum(F.size("records"))).first()[0] == 103
-
-
-def test_cogroup_moves_rows_once(spark):
-    df = grouping.cogroup(_parse(spark, *PART1), _parse(spark, *PART2), ACCOUNT, ["Amount"])
-    assert df._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    account_blocks.run(spark, str(tmp_path / "p1"), str(tmp_path / "p2"), str(tmp_path / "out"), ordered)
+    files = sorted((tmp_path / "out").glob("part-*"))
+    lines = [line for p in files for line in p.read_text().splitlines()]
+    blocks = {}
+    for line in lines:
+        if not line.startswith("\t"):
+            account = line
+            assert account not in blocks
+        blocks.setdefault(account, []).append(line)
+    assert sum(bool(p.read_text()) for p in files) > 1
+    assert blocks.pop("Hot") == ["Hot"] + ["\t1.0"] * 60 + ["\t2.0"] * 40
+    assert {k: sorted(v) for k, v in blocks.items()} == {
+        "Cash": ["\t1.0", "\t2.0", "\t3.0", "Cash"], "Left": ["\t1.0E7", "Left"], "Right": ["\t0.5", "Right"],
+    }
 
 
 def test_finance_files(spark, tmp_path):

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.sources.messages import bad_labels, messages
 from millrace.functions.windows import hours, minutes
 from millrace.operators import rows
 from millrace.operators.windows import with_window
@@ -29,7 +30,7 @@ def _project(df, **options):
 
 def test_time_labels(spark):
     raw = [("", "1704272700123"), ("", "2024-01-03T09:05:00.123Z"), ("", "2024-01-03T10:05:00.123+01:00"), ("", "x")]
-    got = messages(spark.createDataFrame(raw, "payload string, timestamp_ms string"))
+    got = messages(spark.createDataFrame(raw, "payload string, timestamp_ms string"), on_bad_label="null")
     want = dt.datetime(2024, 1, 3, 9, 5, 0, 123000)
     texts = [r[0] for r in got.select(F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss.SSS")).collect()]
     assert texts == [want.strftime("%Y-%m-%d %H:%M:%S.123")] * 3 + [None]
@@ -62,11 +63,30 @@ def test_bad_payload_raises_or_is_dropped(spark, bad):
     assert sent.agg(rows.bad_payloads()).first()[0] == 1
 
 
-def test_payload_is_parsed_once_when_dropping(spark):
-    plan = _project(_sent(spark, "{}"), on_error="drop")._jdf.queryExecution().optimizedPlan().toString()
+@pytest.mark.parametrize("bad", ["{", "", None])
+def test_raise_does_so_whichever_columns_are_used(spark, bad):
+    built = _project(_sent(spark, '{"FinanceKey":1}', bad))
+    for used in (built, built.select("FinanceKey"), built.select("ProcessTimestamp"), built.select()):
+        with pytest.raises(Exception):
+            used.count()
+        with pytest.raises(Exception):
+            used.collect()
+
+
+@pytest.mark.parametrize("on_error", ["drop", "raise"])
+def test_payload_is_parsed_once(spark, on_error):
+    plan = _project(_sent(spark, "{}"), on_error=on_error)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
 
 
+def test_unreadable_time_labels_raise_or_are_counted(spark):
+    raw = spark.createDataFrame([("a", "1704067200000"), ("b", "soon"), ("c", None)], "payload string, timestamp_ms string")
+    with pytest.raises(Exception, match="not a time label"):
+        messages(raw).select("event_ts").collect()
+    assert messages(raw, on_bad_label="null").where("event_ts IS NULL").count() == 2
+    assert raw.agg(bad_labels()).first()[0] == 2
+
+
 def test_denylist(spark):
     sent = _sent(spark, '{"Category":"c","MessageType":"m","TimeStamp":"t","a":null,"b":"x","ProcessTimestamp":"old"}', "{")
     built = rows.project_denylist(sent, process_ts=F.lit("2024-01-03 10:00:00").cast("timestamp")).collect()

@@ -56,10 +56,21 @@ def test_pane_files_keep_order_and_one_file_each(spark, tmp_path):
 
 
 def test_pane_bodies_without_separator(spark, tmp_path):
-    bodies = spark.createDataFrame([("p/a", 2, "xy"), ("p/b", 1, "z")], "path string, n_elements long, body string")
+    bodies = spark.createDataFrame(
+        [("p/T1/0", 2, "xy"), ("p/T1/1", 1, "z"), ("p/T2/0", 1, "w")], "path string, n_elements long, body string"
+    )
     files.write_pane_bodies(bodies, str(tmp_path / "b"))
-    got = spark.read.text(str(tmp_path / "b"), wholetext=True).collect()
-    assert sorted((r["path"], r["value"]) for r in got) == [("p/a", "xy\n"), ("p/b", "z\n")]
+    written = {str(p.parent.relative_to(tmp_path / "b")): p.read_text() for p in (tmp_path / "b").rglob("part-*")}
+    assert written == {
+        "prefix=p/window_max_ts=T1/pane_index=0": "xy\n", "prefix=p/window_max_ts=T1/pane_index=1": "z\n",
+        "prefix=p/window_max_ts=T2/pane_index=0": "w\n",
+    }
+
+
+def test_pane_files_with_a_separator(spark, tmp_path):
+    df = spark.range(6).select(F.col("id").cast("string").alias("payload"), F.timestamp_seconds(BASE_S + F.col("id")).alias("ts"))
+    files.write_pane_files(panes.assign_panes(df, "ts", minutes(5), 4), str(tmp_path / "p"), "payload", ["ts"], separator=";")
+    assert sorted(p.read_text() for p in (tmp_path / "p").rglob("part-*")) == ["0;1;2;3;", "4;5;"]
 
 
 def test_scratch_is_below_the_shared_folder(spark):

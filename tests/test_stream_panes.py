@@ -66,10 +66,10 @@ def test_delay_zero_fires_each_batch_and_without_late_trigger_nothing_follows(sp
 
 def test_shards_are_independent_and_whole(spark, feed):
     rows = [(f"p{i}", i % 290) for i in range(400)]
-    out = feed([rows[:240], rows[240:], [FAR]], _cut(Trigger(count=10), None, shards=None))
+    out = feed([rows[:240], rows[240:], [FAR]], _cut(Trigger(count=10), None, shards=16))
     got = _panes(spark, out)
     shards = {k[1] for k in got}
-    assert shards <= set(range(16)) and len(shards) > 8  # four for each of four partitions
+    assert shards <= set(range(16)) and len(shards) > 8
     seen = [p for shard in got.values() for pane in shard for p in pane[4]]
     assert sorted(seen) == sorted(p for p, _ in rows)
     for shard in got.values():
@@ -155,3 +155,8 @@ def test_age_of_a_waiting_pane():
     assert take(80_000, *"fghi") == [(2, "f"), (2, "g"), (2, "h")]   # one waits since 80 s
     assert take(109_999) == [] and take(110_000, "j") == [(3, "i"), (3, "j")]
     assert window.waiting == 0
+
+
+def test_added_columns_do_not_clash(spark, feed):
+    with pytest.raises(ValueError, match="shard"):
+        stream_panes(spark.range(1).selectExpr("timestamp_seconds(id) AS event_ts", "id AS shard"), "event_ts", minutes(5), 0)
