@@ -121,8 +121,10 @@ def copies(docs: DataFrame, id_col: str, n_tokens: Column, domain: Column, weigh
     so_far = Window.partitionBy("leaf").orderBy("at", "n_tokens").rowsBetween(Window.unboundedPreceding, 0)
     fits = F.col("before") + F.sum("n_tokens").over(so_far) <= F.col("rest")
     at_end = placed.where(F.col("stretch") == F.col("end")).withColumn("more", fits.cast("int"))
+    # Where whole epochs meet the budget there is no more, not even of documents without tokens.
+    more = F.when(F.col("rest") > 0, F.col("more")).otherwise(F.lit(0))
     return inside.unionByName(beyond).unionByName(at_end).select(
-        "row", "id", *LEVELS, "n_tokens", "budget", (F.col("epochs") + F.col("more")).cast("long").alias("copies")
+        "row", "id", *LEVELS, "n_tokens", "budget", (F.col("epochs") + more).cast("long").alias("copies")
     )
 
 

@@ -69,7 +69,7 @@ planned AS (
     ORDER BY md5(concat_ws('|', doc_id, 17, epochs)), n_tokens ROWS UNBOUNDED PRECEDING) AS upto FROM planned
 )
 SELECT doc_id, domain, lang, source, n_tokens, budget,
-  (epochs + CASE WHEN upto <= rest THEN 1 ELSE 0 END)::BIGINT AS copies
+  (epochs + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END)::BIGINT AS copies
 FROM run
 """
 

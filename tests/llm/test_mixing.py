@@ -1,3 +1,4 @@
+import hashlib
 from fractions import Fraction
 
 import pytest
@@ -40,17 +41,13 @@ def test_more_than_there_is(spark):
     assert budgets(spark, leaves, share=(9, 1), epochs=2) == {("w", "en", "a"): 20, ("x", "en", "b"): 60}
 
 
-ONE = {k: F.lit(1) for k in mixing.LEVELS}
-
-
-def chosen(docs, share, epochs, seed=0, weights=ONE):
+def chosen(docs, share, epochs, seed=0, **weights):
+    weights = {k: F.lit(1) for k in mixing.LEVELS} | weights
     return mixing.copies(docs, "doc_id", F.length("text"), F.lit("w"), weights, share, epochs, seed)
 
 
 @pytest.mark.parametrize("share,epochs", [((1, 2), 2), ((5, 2), 3), ((0, 1), 1), ((7, 1), 2)])
 def test_prefix_of_a_seeded_epoch(spark, share, epochs):
-    import hashlib
-
     rows = [(n, "x" * (n % 17)) for n in range(300)]
     docs = documents(spark, rows).withColumn("source", F.lit("s"))
     got = {r["id"]: r["copies"] for r in chosen(docs, share, epochs, seed=4).collect()}
@@ -60,7 +57,7 @@ def test_prefix_of_a_seeded_epoch(spark, share, epochs):
     want, upto = {}, 0
     for i, t in sorted(rows, key=lambda r: hashlib.md5(f"{r[0]}|4|{full}".encode()).hexdigest()):
         upto += len(t)
-        want[i] = full + (upto <= rest)
+        want[i] = full + (0 < rest >= upto)
     assert got == want
 
 
@@ -87,8 +84,8 @@ def test_documents_come_as_often_as_chosen(spark):
 
 def test_weight_zero_and_empty_table(spark):
     docs = documents(spark, [(n, "text") for n in range(9)])
-    none = ONE | {"source": F.when(F.col("source") == "src1", 0).otherwise(1)}
-    assert {r["copies"] for r in chosen(docs, (1, 1), 1, weights=none).where("source = 'src1'").collect()} == {0}
+    weight = F.when(F.col("source") == "src1", 0).otherwise(1)
+    assert {r["copies"] for r in chosen(docs, (1, 1), 1, source=weight).where("source = 'src1'").collect()} == {0}
     assert chosen(documents(spark, []), (1, 2), 2).collect() == []
 
 
