@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.shared import attach, bloom_of, bloom_tested, hot_keys, join_dealt, settled, text_or_empty
+from millrace.llm.shared import Workspace, attach, bloom_of, bloom_tested, hot_keys, join_dealt, settled, text_or_empty
 
 WORDS = 5
 #: Documents are linked if 100 * shared shingles >= 75 * shingles of both.
@@ -178,7 +178,7 @@ def _read(docs: DataFrame, id_col: str, text_col: str) -> _Corpus:
     return _Corpus(texts, rows, classes, sent, rows.count())
 
 
-def _placed(corpus: _Corpus) -> DataFrame:
+def _placed(corpus: _Corpus, work: Workspace) -> DataFrame:
     """``key, digest, n, first`` of each document with shingles."""
     sent = corpus.sent
 
@@ -200,7 +200,7 @@ def _placed(corpus: _Corpus) -> DataFrame:
                  _lists(firsts)], ["key", "digest", "n", "first"],
             )
 
-    return settled(corpus.texts.mapInArrow(place, "key long, digest binary, n long, first array<long>"))
+    return work.settled(corpus.texts.mapInArrow(place, "key long, digest binary, n long, first array<long>"))
 
 
 def _seventh(a: Column, b: Column) -> Column:
@@ -220,21 +220,21 @@ def _possible(shared: Column) -> Column:
     return (shared + rest >= _seventh(a, b)) & (100 * F.least(a, b) >= SIMILAR * F.greatest(a, b))
 
 
-def _regions(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _regions(placed: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
     """``hash, key`` without repetition of the regions with 2 to ``CROWDED`` keys, and of the others."""
     memberships = placed.select("key", F.explode("first").alias("hash"))
-    counted = settled(memberships.groupBy("hash").count().where("count > 1").withColumnRenamed("count", "size"))
+    counted = work.settled(memberships.groupBy("hash").count().where("count > 1").withColumnRenamed("count", "size"))
     n = counted.count()
     bloom, n_words = bloom_of(counted, n, "hash")
     repeated = bloom_tested(memberships, bloom, n_words, F.col("hash")).where("maybe").drop("maybe")
     total = counted.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     met = attach(repeated, counted, "hash", "size", total).select("hash", "key").distinct()
-    met = settled(met)
-    sizes = settled(met.groupBy("hash").agg(F.count(F.lit(1)).alias("size"), F.min("key").alias("pivot")))
+    met = work.settled(met)
+    sizes = work.settled(met.groupBy("hash").agg(F.count(F.lit(1)).alias("size"), F.min("key").alias("pivot")))
     few = met.join(sizes.where(f"size between 2 and {CROWDED}").select("hash"), "hash", "left_semi")
     many = sizes.where(f"size > {CROWDED}")
     many = attach(met.join(many.select("hash"), "hash", "left_semi"), many, "hash", "size", total)
-    return few, settled(many.select("hash", "key", "pivot"))
+    return few, work.settled(many.select("hash", "key", "pivot"))
 
 
 def _pairs_of_few(few: DataFrame) -> DataFrame:
@@ -246,23 +246,23 @@ def _pairs_of_few(few: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.sum("regions").alias("shared"))
 
 
-def _measured(corpus: _Corpus, placed: DataFrame, pairs: DataFrame) -> DataFrame:
+def _measured(corpus: _Corpus, placed: DataFrame, pairs: DataFrame, work: Workspace) -> DataFrame:
     """``a, b, digest_a, digest_b, d, linked``: the exact distances of ``pairs`` (``a, b``), written.
 
     The sets of all documents in pairs are read from the texts and moved once, to
     where the pairs are that name them; then each pair moves with one set.
     """
     ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
-    ends = settled(ends.groupBy("key").agg(F.count(F.lit(1)).alias("pairs")))
-    hot = settled(hot_keys(ends, "key", "pairs", 2 * pairs.count()))
+    ends = work.settled(ends.groupBy("key").agg(F.count(F.lit(1)).alias("pairs")))
+    hot = work.settled(hot_keys(ends, "key", "pairs", 2 * pairs.count()))
     digests = placed.select("key", "digest").join(ends.select("key"), "key", "left_semi").distinct()
-    sets = _sets(corpus, settled(digests.join(corpus.classes, "digest").select("least_id")))
+    sets = _sets(corpus, work.settled(digests.join(corpus.classes, "digest").select("least_id")))
     for side in ("b", "a"):
         met = join_dealt(pairs.withColumnRenamed(side, "key"), sets, "key", hot)
         pairs = met.withColumnsRenamed({"key": side, "digest": f"digest_{side}", "found": f"found_{side}"})
     shared = F.size(F.array_intersect("found_a", "found_b"))
     both = F.size("found_a") + F.size("found_b") - shared
-    return settled(pairs.select(
+    return work.settled(pairs.select(
         "a", "b", "digest_a", "digest_b", (1 - shared / both).alias("d"),
         (100 * shared >= SIMILAR * both).alias("linked"),
     ))
@@ -295,11 +295,12 @@ def _sets(corpus: _Corpus, wanted: DataFrame) -> DataFrame:
 
 def links(corpus: _Corpus) -> DataFrame:
     """``u, v``: edges between classes, whose components are those of all links."""
-    placed = _placed(corpus)
-    few, many = _regions(placed)
-    sizes = settled(placed.groupBy("key").agg(F.max("n").alias("n")))
+    work = Workspace(corpus.texts.sparkSession, "regions")
+    placed = _placed(corpus, work)
+    few, many = _regions(placed, work)
+    sizes = work.settled(placed.groupBy("key").agg(F.max("n").alias("n")))
     # Of a key in crowded regions, which these are.
-    crowds = settled(many.groupBy("key").agg(F.sort_array(F.collect_set("hash")).alias("crowds")))
+    crowds = work.settled(many.groupBy("key").agg(F.sort_array(F.collect_set("hash")).alias("crowds")))
 
     def with_sizes(pairs: DataFrame) -> DataFrame:
         for side in ("a", "b"):
@@ -312,18 +313,20 @@ def links(corpus: _Corpus) -> DataFrame:
     close = close.where(_possible(F.col("shared") + F.col("in_crowds"))).select("a", "b")
     star = many.where("key <> pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
     star = with_sizes(star).where(_possible(F.least("n_a", "n_b"))).select("a", "b")
-    measured = _measured(corpus, placed, settled(close.unionByName(star).distinct()))
-    left = settled(_left_over(many, crowds, sizes, measured))
-    edges = measured if left.isEmpty() else measured.unionByName(_measured(corpus, placed, left))
+    measured = _measured(corpus, placed, work.settled(close.unionByName(star).distinct()), work)
+    left = work.settled(_left_over(many, crowds, sizes, measured, work))
+    edges = measured if left.isEmpty() else measured.unionByName(_measured(corpus, placed, left, work))
     # Two classes of one key, by chance, are apart; so classes are linked, not keys.
     edges = edges.where("linked").select("digest_a", "digest_b").distinct()
     nodes = corpus.classes.select("digest", "node")
     for side, name in (("digest_a", "u"), ("digest_b", "v")):
         edges = edges.join(nodes.select(F.col("digest").alias(side), F.col("node").alias(name)), side)
-    return edges.select("u", "v")
+    found = settled(edges.select("u", "v"))
+    work.drop()
+    return found
 
 
-def _left_over(many: DataFrame, crowds: DataFrame, sizes: DataFrame, measured: DataFrame) -> DataFrame:
+def _left_over(many: DataFrame, crowds: DataFrame, sizes: DataFrame, measured: DataFrame, work: Workspace) -> DataFrame:
     """``a, b``: the pairs of crowded regions that the distances from the pivot leave open.
 
     A pair which also shares a small region is among the pairs of that; so here a
@@ -337,7 +340,7 @@ def _left_over(many: DataFrame, crowds: DataFrame, sizes: DataFrame, measured: D
     n_pivot = sizes.select(F.col("key").alias("pivot"), F.col("n").alias("n_pivot"))
     rows = rows.join(sizes, "key").join(n_pivot, "pivot").join(crowds, "key")
     least_d = 1 - F.least("n", "n_pivot") / F.greatest("n", "n_pivot")
-    rows = settled(rows.select(
+    rows = work.settled(rows.select(
         "hash", "key", "n", "crowds", F.coalesce("d", least_d).alias("d"),
         F.coalesce("linked", F.lit(False)).alias("linked"),
     ))

@@ -191,9 +191,16 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     language there are no references, distances are null and only the base rules
     decide.  An empty table gives no rows.
     """
-    rows = histograms(base_counts(docs, text_col, [lang_col, *(docs.columns if carry is None else carry)]))
-    rows = settled(rows.withColumn("n_chars", F.length("text")).drop("text", "found"))
-    reference = _reference(rows, F.col("row").getField(lang_col))
+    rows = settled(_measured(docs, text_col, [lang_col, *(docs.columns if carry is None else carry)]))
+    return _verdicts(rows, _reference(rows, F.col("row").getField(lang_col)))
+
+
+def _measured(docs: DataFrame, text_col: str, carry: Sequence[str]) -> DataFrame:
+    rows = histograms(base_counts(docs, text_col, carry))
+    return rows.withColumn("n_chars", F.length("text")).drop("text", "found")
+
+
+def _verdicts(rows: DataFrame, reference: DataFrame) -> DataFrame:
     rows = rows.withColumn("reference", reference.scalar())
     nothing = F.array(*[F.lit(0.0)] * len(COMMON_WORDS))
     met = F.transform(
@@ -212,5 +219,14 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``docs`` without the rows that are not ``kept``, same columns."""
-    return unpacked(judged(docs, text_col, lang_col).where("kept"), docs.columns)
+    """``docs`` without the rows that are not ``kept``, same columns.
+
+    Only what the references are made of is written; the texts are read twice.
+    """
+    narrow = settled(_measured(docs, text_col, [lang_col]).select("row", "bins"))
+    reference = _reference(narrow, F.col("row").getField(lang_col))
+    verdicts = _verdicts(_measured(docs, text_col, docs.columns), reference)
+    # The row number keeps the filter where it is: pushed down, it would work out
+    # every column that it rests on again, once for each mention.
+    numbered = verdicts.withColumn("at", F.monotonically_increasing_id())
+    return unpacked(numbered.where(F.col("kept") & (F.col("at") >= 0)), docs.columns)

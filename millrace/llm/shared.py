@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import settled
+from millrace.session import scratch_path, settled
 
 # Fixed value: what stands between words.
 _SPACES = r"[\x20\x09-\x0D]+"
@@ -18,6 +18,25 @@ BROADCAST_ROWS = 1 << 21
 HOT_SHARE = 1_000
 
 
+class Workspace:
+    """A folder of tables that are needed for a while only."""
+
+    def __init__(self, spark: SparkSession, label: str) -> None:
+        self._spark, self._path, self._tables = spark, scratch_path(spark, label), 0
+
+    def settled(self, df: DataFrame) -> DataFrame:
+        """As ``settled``, below the folder."""
+        self._tables += 1
+        path = f"{self._path}/{self._tables}"
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        """Deletes the folder; nothing that still reads a table of it may follow."""
+        path = self._spark._jvm.org.apache.hadoop.fs.Path(self._path)
+        path.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_or_empty(text: str | Column = "text") -> Column:
     text = F.col(text) if isinstance(text, str) else text
     return F.coalesce(text, F.lit(""))
