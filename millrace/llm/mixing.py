@@ -13,6 +13,8 @@ LEVELS = ("domain", "lang", "source")
 #: Hex digits of the order that cut a leaf into stretches (4,096 of them), of which
 #: only one, where the budget ends, is summed row by row.
 STRETCH_DIGITS = 3
+#: The plan of so many leaves is sent to all tasks; that of more is joined by a shuffle.
+SENT_LEAVES = 100_000
 
 
 def _shared_out(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
@@ -83,18 +85,19 @@ def copies(docs: DataFrame, id_col: str, n_tokens: Column, domain: Column, weigh
     budget is met by whole epochs of its documents and by the first documents of
     one more, in the order of a seeded hash, whose tokens fit.  Null domains,
     languages and sources are empty names; null counts are 0; ids may repeat, and
-    documents alike in id and tokens are exchangeable.  Only the rows' own columns
+    documents alike in id and tokens come together or not at all.  Only the rows' own columns
     and one hash are compared, so the result does not depend on their layout.  An
     empty table gives no rows.
     """
     names = {"domain": domain, "lang": F.col(lang_col), "source": F.col(source_col)}
     kept = [F.col(c) for c in (docs.columns if carry is None else carry)]
-    rows = docs.select(
+    whole = docs.select(
         F.struct(*kept, F.lit(None).cast("boolean").alias("-")).alias("row"), F.col(id_col).alias("id"),
         F.coalesce(n_tokens.cast("long"), F.lit(0).cast("long")).alias("n_tokens"),
         *[F.coalesce(v.cast("string"), F.lit("")).alias(k) for k, v in names.items()],
     )
-    rows = settled(rows.withColumn("leaf", F.struct(*LEVELS)))
+    whole = whole.withColumn("leaf", F.struct(*LEVELS))
+    rows = settled(whole.drop("row"))
     leaves = rows.groupBy("leaf", *LEVELS).agg(
         F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("n_docs")
     ).withColumns({f"{k}_weight": w.cast("long") for k, w in weights.items()})
@@ -113,21 +116,34 @@ def copies(docs: DataFrame, id_col: str, n_tokens: Column, domain: Column, weigh
             "rest": F.when(some, F.col("budget") % F.col("tokens")).otherwise(F.lit(0).cast("long")),
         }).select("leaf", "n_docs", "budget", "epochs", "rest")
     )
-    ends = settled(_ends(attach(rows.select("leaf", "id", "n_tokens"), plan, "leaf", "n_docs", total), seed))
-    placed = attach(rows, plan.join(ends, "leaf", "left"), "leaf", "n_docs", total)
-    placed = placed.withColumn("at", _order(seed)).withColumn("stretch", F.substring("at", 1, STRETCH_DIGITS))
-    inside = placed.where(F.col("stretch") < F.col("end")).withColumn("more", F.lit(1))
-    beyond = placed.where(F.col("end").isNull() | (F.col("stretch") > F.col("end"))).withColumn("more", F.lit(0))
-    so_far = Window.partitionBy("leaf").orderBy("at", "n_tokens").rowsBetween(Window.unboundedPreceding, 0)
-    fits = F.col("before") + F.sum("n_tokens").over(so_far) <= F.col("rest")
-    at_end = placed.where(F.col("stretch") == F.col("end")).withColumn("more", fits.cast("int"))
+    narrow = rows.select("leaf", "id", "n_tokens")
+    ends = settled(_ends(attach(narrow, plan, "leaf", "n_docs", total), seed))
+    plan = plan.join(ends, "leaf", "left")
+    plan = settled(plan.join(_last(attach(narrow, plan, "leaf", "n_docs", total), seed), "leaf", "left"))
+    # Everything about a leaf is one row, whose number is checked before it is sent to all tasks.
+    if plan.count() <= SENT_LEAVES:
+        placed = whole.join(F.broadcast(plan), "leaf")
+    else:
+        placed = attach(whole, plan, "leaf", "n_docs", total)
+    place = F.struct(_order(seed).alias("at"), "n_tokens")
+    stretch = F.substring(_order(seed), 1, STRETCH_DIGITS)
     # Where whole epochs meet the budget there is no more, not even of documents without tokens.
-    more = F.when(F.col("rest") > 0, F.col("more")).otherwise(F.lit(0))
-    return inside.unionByName(beyond).unionByName(at_end).select(
-        "row", "id", *LEVELS, "n_tokens", "budget", (F.col("epochs") + more).cast("long").alias("copies")
+    more = (F.col("rest") > 0) & ((stretch < F.col("end")) | ((stretch == F.col("end")) & (place <= F.col("last"))))
+    return placed.select(
+        "row", "id", *LEVELS, "n_tokens", "budget",
+        (F.col("epochs") + F.coalesce(more, F.lit(False)).cast("long")).alias("copies"),
     )
 
 
+def _last(rows: DataFrame, seed: int) -> DataFrame:
+    """Of each leaf, the place of the last document of its last epoch within the stretch where it ends."""
+    at_end = rows.withColumn("at", _order(seed)).where(F.substring("at", 1, STRETCH_DIGITS) == F.col("end"))
+    # Up to this place and with all documents at it.
+    so_far = Window.partitionBy("leaf").orderBy("at", "n_tokens")
+    fitting = at_end.withColumn("upto", F.col("before") + F.sum("n_tokens").over(so_far)).where("upto <= rest")
+    return fitting.groupBy("leaf").agg(F.max(F.struct("at", "n_tokens")).alias("last"))
+
+
 def _ends(rows: DataFrame, seed: int) -> DataFrame:
     """Of each leaf, the stretch in which the last, partial epoch ends, and the tokens before it."""
     sums = rows.groupBy("leaf", "rest", F.substring(_order(seed), 1, STRETCH_DIGITS).alias("stretch")).agg(
