@@ -21,7 +21,10 @@ ACCESS_CHARS = 20
 HEX = re.compile(r"[0-9a-f]{24,}")  # leftmost whole runs of at least 24
 
 # Strings that may be random, and what of them is known not to be secret.
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+RUN_CHARS = 20
+RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{RUN_CHARS},}}")
+VALUE = re.compile("[^=]+")
+PIECE = re.compile(r"(?i:(?<![0-9a-z])[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}(?![0-9a-z]))|[^/_-]+")
 DIGEST = re.compile(r"(?i:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})")
 UUID = re.compile(r"(?i:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12})")
 DIGITS_AND_MARKS = re.compile(r"[0-9+/_=-]*")
@@ -31,15 +34,50 @@ CHARS_PER_TOKEN = 2.0
 SLICE = 1_000
 
 
-def _is_random(run: str, own) -> bool:
-    if DIGEST.fullmatch(run) or UUID.fullmatch(run) or DIGITS_AND_MARKS.fullmatch(run):
-        return False
-    if not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)):
-        return False
+def _known(run: str) -> bool:
+    return any(form.fullmatch(run) for form in (DIGEST, UUID, DIGITS_AND_MARKS))
+
+
+def _dense(run: str, own) -> bool:
     tokens = sum(len(own.encode_ordinary(run[i : i + SLICE])) for i in range(0, len(run), SLICE))
     return len(run) < CHARS_PER_TOKEN * tokens
 
 
+def _is_random(run: str, own) -> bool:
+    return not _known(run) and _dense(run, own)
+
+
+def _random_spans(run: str, own) -> list[tuple[int, int]]:
+    """The random strings of a run: the run itself, or else what stands between its
+    ``=``, or else the longest rows of its pieces that are random each.
+
+    Each is told by its own characters a token, so that what is readable before or
+    after it does not hide it; strings that are cut by ``/``, ``_`` or ``-`` stay whole.
+    """
+    if _known(run):
+        return []
+    forms = any(len(m[0]) >= RUN_CHARS and _known(m[0]) for m in PIECE.finditer(run.replace("=", "/")))
+    if not forms and _dense(run, own):
+        return [(0, len(run))]
+    spans = []
+    for part in VALUE.finditer(run):
+        if len(part[0]) < RUN_CHARS or _known(part[0]):
+            continue
+        if not forms and _dense(part[0], own):
+            spans.append(part.span())
+            continue
+        start = end = None
+        pieces = [m for m in PIECE.finditer(run, part.start(), part.end())]
+        for m in [*pieces, None]:
+            if m is not None and not (len(m[0]) >= RUN_CHARS and _known(m[0])) and _dense(m[0], own):
+                start, end = (m.start() if start is None else start), m.end()
+                continue
+            if start is not None and end - start >= RUN_CHARS and _is_random(run[start:end], own):
+                spans.append((start, end))
+            start = end = None
+    return spans
+
+
 def find(text: str, own) -> list[tuple[int, int, int]]:
     """``(start, number of the kind, end)``, sorted.  Base kinds overlap freely; a random
     string is only added where no base span lies."""
@@ -52,8 +90,8 @@ def find(text: str, own) -> list[tuple[int, int, int]]:
     spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     base = sorted(spans)
     for m in RUN.finditer(text):
-        if all(end <= m.start() or start >= m.end() for start, _, end in base) and _is_random(m[0], own):
-            spans.append((m.start(), 3, m.end()))
+        if all(end <= m.start() or start >= m.end() for start, _, end in base):
+            spans += [(m.start() + a, 3, m.start() + b) for a, b in _random_spans(m[0], own)]
     return sorted(spans)
 
 

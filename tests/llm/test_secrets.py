@@ -57,3 +57,15 @@ def test_random_strings_are_added_and_digests_are_not(spark):
 
 def test_empty_table(spark):
     assert secrets.secrets(documents(spark, []), queries.vocabulary()).collect() == []
+
+
+def test_random_strings_without_digits_and_behind_readable_text():
+    own = secrets.encoding(queries.vocabulary())
+    letters, key = "kXqvWQpLrzZtBwMmYbGHcjNfJsDg", "kX9vQ2pLr8ZtW4mYb7Hc"
+    uuid = "123e4567-e89b-12d3-a456-426614174000"
+    for before in ("", "session_identifier_of_the_user=", "/download/files/public/of/the/server/", "the-name-of-the-user-"):
+        for string in (letters, key):
+            found = secrets.find(f"see {before}{string} here", own)
+            assert any(k == 3 and a <= 4 + len(before) and b == 4 + len(before) + len(string) for a, k, b in found)
+        assert secrets.find(f"see {before}{uuid} here", own) == []
+    assert secrets.find("getElementsByTagNameAndClassName an_identifier_of_many_plain_words_in_a_row", own) == []
