@@ -1,24 +1,21 @@
-"""Quality rules: base counts, and how far a text's histograms lie from those of its language.
+"""Quality rules: base counts, and how far a text's histograms lie from those of the languages.
 
 Everything is array and aggregate functions; a text's work stays in its row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import math
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm import exact_dedup
 from millrace.llm.shared import settled, text_or_empty, unpacked, words
 
-# Frequent words of each language, as written in lower case.
-COMMON_WORDS = {
-    "en": "the of and to in is was for that it with as on be at by are this from or an have not which you",
-    "fr": "de la le et les des en un une du dans est que pour qui par sur au pas plus avec ce il sont se",
-    "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden aus",
-    "es": "de la que el en y a los se del las un por con no una su para es al lo como más o pero",
-}
 # The classes of characters, each as a pattern of Java.
 CHAR_CLASSES = {
     "lower": "[a-z]+",
@@ -29,13 +26,24 @@ CHAR_CLASSES = {
     "other_ascii": r"[\x00-\x08\x0E-\x1F#$%&*+/<=>@\[\\\]^_`{|}~\x7F]+",
 }
 SYMBOLS = "[#*$%&|<>]"
+#: Texts of fewer words fail.
+BASE_WORDS = 50
 
 #: Below so many words, or characters, a histogram says nothing and the distance is not used.
 MIN_WORDS, MIN_CHARS = 100, 200
-#: Jensen-Shannon distance (0 to 1) from the nearest language above which a text is rejected.
-MAX_WORD_DISTANCE, MAX_CHAR_DISTANCE = 0.33, 0.28
-
-_ALL_WORDS = sorted({w for listed in COMMON_WORDS.values() for w in listed.split()})
+#: Jensen-Shannon distance (0 to 1) from the nearest reference above which a text is rejected:
+#: of words as a share of the distance that a text without any listed word has, of characters as it is.
+MAX_WORD_SHARE, MAX_CHAR_DISTANCE = 0.85, 0.28
+#: A language has a reference from so many distinct texts on.
+REFERENCE_TEXTS = 30
+#: Its listed words are so many at most, the most frequent ones, each with such a mean share at least.
+LISTED_WORDS, LISTED_SHARE = 25, 0.002
+#: Where a text without any listed word is nearer than this, the words of a language say nothing.
+LEAST_BARE = 0.2
+#: Shares are summed in whole parts of this, so that a sum does not depend on its order.
+PARTS = 1_000_000_000
+#: Medians of shares are told to one in so many.
+STEPS = 10_000
 
 
 def _length_without(text: Column, pattern: str) -> Column:
@@ -66,7 +74,20 @@ def base_counts(docs: DataFrame, text_col: str, carry: Sequence[str]) -> DataFra
     text = text_or_empty(text_col)
     rows = docs.select(row, text.alias("text"), words(F.col(text_col)).alias("found"))
     lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    rows = rows.withColumns({"windows": _windows(F.col("found")), "lines": lines})
+    rows = _with_repeats(rows.withColumn("lines", lines))
+    rows = rows.select(
+        "row", "text", "found", "n_words",
+        F.length(F.array_join("found", "")).cast("long").alias("word_chars"),
+        (F.length("text") - _length_without(F.col("text"), SYMBOLS)).cast("long").alias("n_symbols"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
+        "n_repeat_words",
+    )
+    return rows.withColumn("base_failed", _base_failed())
+
+
+def _with_repeats(rows: DataFrame) -> DataFrame:
+    """``rows`` (with ``found``) and ``n_words, n_repeat_words``."""
+    rows = rows.withColumn("windows", _windows(F.col("found")))
     repeated = F.filter(
         F.transform(
             "windows",
@@ -78,24 +99,17 @@ def base_counts(docs: DataFrame, text_col: str, carry: Sequence[str]) -> DataFra
         lambda at: at.isNotNull(),
     )
     in_repeated = F.array_distinct(F.flatten(F.transform(repeated, lambda at: F.array(at, at + 1, at + 2))))
-    n_words = F.size("found").cast("long")
-    rows = rows.select(
-        "row", "text", "found",
-        n_words.alias("n_words"),
-        F.length(F.array_join("found", "")).cast("long").alias("word_chars"),
-        (F.length("text") - _length_without(F.col("text"), SYMBOLS)).cast("long").alias("n_symbols"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.size(in_repeated).cast("long").alias("n_repeat_words"),
-    )
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return rows.withColumn("base_failed", failed)
+    return rows.withColumns({
+        "n_words": F.size("found").cast("long"), "n_repeat_words": F.size(in_repeated).cast("long"),
+    }).drop("windows")
 
 
-def histograms(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``bins``: for each kind (char, word) and bin its share of the kind.
+def _base_failed() -> Column:
+    return (F.col("n_words") < BASE_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
-    The word bins are the listed words, of all languages, and all others together.
-    """
+
+def _char_shares(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``chars``: ``kind, bin, share`` of each class of characters."""
     length = F.length("text")
     # Class after class is taken out, so that each pattern sees only what is left.
     left, sizes = F.col("text"), []
@@ -109,44 +123,134 @@ def histograms(rows: DataFrame) -> DataFrame:
         F.struct(F.lit("char").alias("kind"), F.lit(name).alias("bin"), F.try_divide(size, length).alias("share"))
         for name, size in sizes
     ])
-    common = F.transform(F.filter("found", lambda w: F.lower(w).isin(_ALL_WORDS)), F.lower)
-    rest = rest.withColumns({"chars": F.filter(chars, lambda b: b["share"].isNotNull()), "common": common})
-    listed = F.transform(
-        F.array_distinct("common"),
-        lambda w: F.struct(
-            F.lit("word").alias("kind"), w.alias("bin"),
-            F.try_divide(F.size(F.filter("common", lambda x: x == w)), F.col("n_words")).alias("share"),
+    rest = rest.withColumn("chars", F.filter(chars, lambda b: b["share"].isNotNull()))
+    return rest.drop(*[f"left{n}" for n in range(len(CHAR_CLASSES))])
+
+
+def histograms(rows: DataFrame, listed: Sequence[str]) -> DataFrame:
+    """``rows`` with ``bins``: for each kind (char, word) and bin its share of the kind.
+
+    The word bins are the ``listed`` words, of all languages, and all others together.
+    """
+    common = F.transform(F.filter("found", lambda w: F.lower(w).isin(list(listed))), F.lower)
+    rest = _char_shares(rows).withColumn("common", F.sort_array(common))
+    size = F.size("common")
+    starts = F.filter(
+        F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.expr("array()").cast("array<int>")),
+        lambda i: (i == 0) | (F.get("common", i) != F.get("common", i - 1)),
+    )
+    rest = rest.withColumn("starts", starts)
+    of_listed = F.transform(
+        "starts",
+        lambda i, k: F.struct(
+            F.lit("word").alias("kind"), F.get("common", i).alias("bin"),
+            F.try_divide(F.coalesce(F.get("starts", k + 1), size) - i, F.col("n_words")).alias("share"),
         ),
     )
     others = F.struct(
         F.lit("word").alias("kind"), F.lit("").alias("bin"),
-        F.try_divide(F.col("n_words") - F.size("common"), F.col("n_words")).alias("share"),
+        F.try_divide(F.col("n_words") - size, F.col("n_words")).alias("share"),
     )
-    bins = F.concat("chars", listed, F.filter(F.array(others), lambda b: b["share"] > 0))
-    return rest.withColumn("bins", bins).drop(*[f"left{n}" for n in range(len(CHAR_CLASSES))], "chars", "common")
+    bins = F.concat("chars", of_listed, F.filter(F.array(others), lambda b: b["share"] > 0))
+    return rest.withColumn("bins", bins).drop("chars", "common", "starts")
+
+
+@dataclass
+class References:
+    """``languages``; ``worded``, those of them whose listed words say something;
+    ``listed``, the words of all of them; ``shares``, of each kind and bin the share
+    in each language."""
 
+    languages: list[str]
+    worded: list[str]
+    listed: list[str]
+    shares: dict[str, list[float]]
 
-def _reference(rows: DataFrame, lang: Column) -> DataFrame:
-    """One row, one column: of each kind and bin the shares in the listed languages.
 
-    Of all texts that say they are in the language: of a word the mean share; of a
-    class of characters the median, which the many symbols of some texts do not
-    move.  The size is bounded by the lists of words and classes.
+def _sums(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    """``lang, kind, bin, step, parts`` over the distinct texts of each language whose base rules hold.
+
+    Of a word the sum of its shares; of a class of characters how many texts have
+    it in which share; of the kind text how many there are.
     """
-    languages = list(COMMON_WORDS)
-    bins = rows.where(lang.isin(languages)).select(lang.alias("lang"), F.explode("bins").alias("b"))
-    sums = bins.groupBy("lang", "b.kind", "b.bin").agg(
-        F.when(F.col("kind") == "char", F.percentile_approx("b.share", 0.5, 10_000)).otherwise(F.sum("b.share")).alias("s")
+    lang, text = F.col(lang_col).cast("string"), text_or_empty(text_col)
+    # Fewer characters cannot hold the words.  The length tells language and text apart.
+    pairs = docs.where(lang.isNotNull() & (F.length(text) >= 2 * BASE_WORDS - 1)).select(
+        lang.alias("lang"), F.concat(F.length(lang).cast("string"), F.lit(":"), lang, text).alias("pair")
     )
-    share = F.col("s") / F.sum("s").over(Window.partitionBy("lang", "kind"))  # of a hundred bins
-    shares = sums.withColumn("share", share)
-    by_bin = shares.groupBy(_bin(F.col("kind"), F.col("bin")).alias("key")).agg(
-        F.array(*[
-            F.coalesce(F.max(F.when(F.col("lang") == name, F.col("share"))), F.lit(0.0))
-            for name in languages
-        ]).alias("value")
+    distinct = exact_dedup.drop_copies(pairs, "lang", "pair")
+    start = F.length("lang") + F.length(F.length("lang").cast("string")) + 2
+    rows = distinct.select("lang", F.substr("pair", start).alias("text"))
+    rows = _with_repeats(rows.withColumn("found", words(F.col("text"))))
+    # The row number keeps the filter where it is: pushed down, it would work out
+    # every column that it rests on again, once for each mention.
+    numbered = rows.withColumns({"failed": _base_failed(), "at": F.monotonically_increasing_id()})
+    rows = _char_shares(numbered.where(~F.col("failed") & (F.col("at") >= 0)).select("lang", "text", "found", "n_words"))
+
+    # No word begins with a space: so do the names of what is counted and not a word.
+    counted = F.transform("chars", lambda c: F.concat_ws(
+        ":", F.lit(" char"), c["bin"], F.round(c["share"] * STEPS).cast("int").cast("string")))
+    entries = F.concat("found", counted, F.array(F.lit(" text")))
+    # There is always an entry; of a plain explode Spark would test that in a filter, for which it works them out.
+    each = rows.select("lang", F.expr(f"{PARTS}L div n_words").alias("part"), F.explode_outer(entries).alias("name"))
+    other = F.col("name").startswith(" ")
+    sums = each.groupBy("lang", F.lower("name").alias("name")).agg(
+        F.sum(F.when(other, F.lit(1).cast("long")).otherwise(F.col("part"))).alias("parts")
     )
-    return by_bin.groupBy().agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("reference"))
+    said = F.split("name", ":")
+    return sums.select(
+        "lang", F.when(~other, "word").when(F.col("name") == " text", "text").otherwise("char").alias("kind"),
+        F.when(other, F.coalesce(F.get(said, F.lit(1)), F.lit(""))).otherwise(F.col("name")).alias("bin"),
+        F.when(other, F.get(said, F.lit(2)).cast("int")).alias("step"), "parts",
+    )
+
+
+def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> References:
+    """The usual histogram of each language that has ``REFERENCE_TEXTS`` distinct texts whose base rules hold.
+
+    Copies count once.  Of a word the mean share; of a class of characters the
+    median, which the many symbols of some texts do not move.  Listed are the most
+    frequent words that begin with a letter.  What the driver gets grows with the
+    number of languages only.
+    """
+    sums = _sums(docs, text_col, lang_col)
+    sums = settled(sums.where((F.col("kind") != "word") | (F.col("parts") >= int(LISTED_SHARE * PARTS * REFERENCE_TEXTS))))
+    texts = sums.where((F.col("kind") == "text") & (F.col("parts") >= REFERENCE_TEXTS))
+    texts = settled(texts.select("lang", F.col("parts").alias("n")))
+    counts = dict(texts.collect())
+    languages = sorted(counts)
+    known = sums.join(F.broadcast(texts), "lang")
+    share = F.col("parts") / (F.col("n") * F.lit(float(PARTS)))
+    worth = known.where((F.col("kind") == "word") & F.col("bin").rlike(r"^\p{L}")).withColumn("share", share)
+    by_share = Window.partitionBy("lang").orderBy(F.desc("parts"), "bin")
+    ranked = worth.where(F.col("share") >= LISTED_SHARE).withColumn("rank", F.row_number().over(by_share))
+    listed = sorted({r["bin"] for r in ranked.where(F.col("rank") <= LISTED_WORDS).select("bin").collect()})
+    of_words = {n: {} for n in languages}
+    for r in worth.where(F.col("bin").isin(listed)).select("lang", "bin", "share").collect():
+        of_words[r["lang"]][r["bin"]] = r["share"]
+    # The first step at which half of the texts are counted.
+    upto = F.sum("parts").over(Window.partitionBy("lang", "bin").orderBy("step"))
+    half = known.where(F.col("kind") == "char").withColumn("upto", upto).where(2 * F.col("upto") >= F.col("n"))
+    of_chars = {n: {} for n in languages}
+    for r in half.groupBy("lang", "bin").agg(F.min("step").alias("step")).collect():
+        of_chars[r["lang"]][r["bin"]] = r["step"]
+    shares: dict[str, list[float]] = {}
+
+    def put(key: str, n: int, value: float) -> None:
+        shares.setdefault(key, [0.0] * len(languages))[n] = value
+
+    worded = []
+    for n, name in enumerate(languages):
+        total = sum(of_chars[name].values()) or 1
+        for c, step in of_chars[name].items():
+            put(f"char:{c}", n, step / total)
+        others = max(0.0, 1 - sum(of_words[name].values()))
+        if _bare_value(others) >= LEAST_BARE:
+            worded.append(name)
+            for w, value in of_words[name].items():
+                put(f"word:{w}", n, value)
+            put("word:", n, others)
+    return References(languages, worded, listed, shares)
 
 
 def _bin(kind: Column, name: Column) -> Column:
@@ -171,10 +275,28 @@ def _distance(met: Column, language: int) -> Column:
     )
 
 
-def _nearest(kind: str) -> Column:
-    own = F.filter("met", lambda b: b["kind"] == kind)
-    distances = [_distance(own, n) for n in range(len(COMMON_WORDS))]
-    return F.when(F.size("reference") > 0, F.least(*distances))
+def _bare_value(q: float) -> float:
+    """Distance of a text without any listed word from a language in which all others have the share ``q``."""
+    met = math.log2(2 / (1 + q)) + (q * math.log2(2 * q / (1 + q)) if q else 0.0)
+    return math.sqrt(max(0.0, (met + 1 - q) / 2))
+
+
+def _bare(q: Column) -> Column:
+    q_term = F.when(q > 0, q * F.log2(2 * q / (1 + q))).otherwise(F.lit(0.0))
+    return F.sqrt(F.greatest(F.lit(0.0), (F.log2(2 / (1 + q)) + q_term + 1 - q) / 2))
+
+
+def _dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+
+
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once, also where ``then`` has it in a lambda."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _total(a: Column) -> Column:
+    return F.aggregate(a, F.lit(0.0), lambda total, x: total + x)
 
 
 def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
@@ -182,51 +304,89 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     """``row`` (the columns ``carry`` of ``docs``), the base counts, ``word_distance``,
     ``char_distance``, ``kept``.
 
-    One pass over the texts takes counts and histograms, which are written; the
-    reference of a language is the usual histogram of all texts that say they are
-    in it.  A text is measured against the nearest reference, whatever it says its
-    own language is.  It is kept if no base rule fails and no distance exceeds its
-    limit; that of words counts from ``MIN_WORDS`` words, that of characters from
-    ``MIN_CHARS`` characters on.  A null text has no words and fails; with no known
-    language there are no references, distances are null and only the base rules
-    decide.  An empty table gives no rows.
+    A first pass over the texts gathers the references, a second one takes counts
+    and histograms.  A text whose language has a reference is measured against the
+    nearest of all references, whatever it says its own language is, and of their
+    mixture in the proportions of its listed words, for texts in more than one
+    language.  It is kept if no base rule fails and no distance exceeds its limit;
+    that of words counts from ``MIN_WORDS`` words, that of characters from
+    ``MIN_CHARS`` characters on.  A null text has no words and fails.  Where a
+    language has no reference, or is not given, distances are null and only the
+    base rules decide; so is the distance of words where a language has no frequent
+    words.  An empty table gives no rows.
     """
-    rows = settled(_measured(docs, text_col, [lang_col, *(docs.columns if carry is None else carry)]))
-    return _verdicts(rows, _reference(rows, F.col("row").getField(lang_col)))
+    found = references(docs, text_col, lang_col)
+    rows = _measured(docs, text_col, [lang_col, *(docs.columns if carry is None else carry)], found)
+    # Written, since a caller's filter would otherwise be pushed down, as in _sums.
+    return settled(_verdicts(rows, found, F.col("row").getField(lang_col)))
 
 
-def _measured(docs: DataFrame, text_col: str, carry: Sequence[str]) -> DataFrame:
-    rows = histograms(base_counts(docs, text_col, carry))
+def _measured(docs: DataFrame, text_col: str, carry: Sequence[str], found: References) -> DataFrame:
+    rows = histograms(base_counts(docs, text_col, carry), found.listed)
     return rows.withColumn("n_chars", F.length("text")).drop("text", "found")
 
 
-def _verdicts(rows: DataFrame, reference: DataFrame) -> DataFrame:
-    rows = rows.withColumn("reference", reference.scalar())
-    nothing = F.array(*[F.lit(0.0)] * len(COMMON_WORDS))
+def _verdicts(rows: DataFrame, found: References, lang: Column) -> DataFrame:
+    lang = lang.cast("string")
+    nothing = F.array(*[F.lit(0.0)] * len(found.languages)).cast("array<double>")
+    rows = rows.withColumn("reference", F.from_json(F.lit(json.dumps(found.shares)), "map<string,array<double>>"))
+
+    def theirs(key: Column) -> Column:
+        return F.coalesce(F.element_at("reference", key), nothing)
+
     met = F.transform(
         F.filter("bins", lambda b: b["share"] > 0),
-        lambda b: F.struct(
-            b["kind"].alias("kind"), b["share"].alias("share"),
-            F.coalesce(F.element_at("reference", _bin(b["kind"], b["bin"])), nothing).alias("theirs"),
-        ),
+        lambda b: F.struct(b["kind"].alias("kind"), b["bin"].alias("bin"), b["share"].alias("share"),
+                           theirs(_bin(b["kind"], b["bin"])).alias("theirs")),
     )
-    rows = rows.withColumn("met", met)
-    rows = rows.withColumns({"word_distance": _nearest("word"), "char_distance": _nearest("char")})
-    far_words = (F.col("n_words") >= MIN_WORDS) & (F.col("word_distance") > MAX_WORD_DISTANCE)
+    rows = rows.withColumn("met", F.when(lang.isin(found.languages), met))
+    # Each listed word counts for the languages in proportion to their shares of it.
+    sums = F.aggregate(
+        F.filter("met", lambda b: (b["kind"] == "word") & (b["bin"] != "")), nothing,
+        lambda sums, b: _let(_total(b["theirs"]), lambda all_: F.zip_with(
+            sums, b["theirs"], lambda w, q: w + F.coalesce(F.try_divide(b["share"] * q, all_), F.lit(0.0)))),
+    )
+    weights = _let(sums, lambda ws: _let(_total(ws), lambda all_: F.transform(
+        ws, lambda w: F.coalesce(F.try_divide(w, all_), F.lit(0.0)))))
+
+    def mixed(ws: Column) -> Column:
+        def also(shares: Column) -> Column:
+            return F.concat(shares, F.array(_dot(shares, ws)))
+
+        return F.struct(
+            F.transform("met", lambda b: F.struct(
+                b["kind"].alias("kind"), b["share"].alias("share"), also(b["theirs"]).alias("theirs"))).alias("met"),
+            F.transform(also(theirs(F.lit("word:"))), _bare).alias("bare"),
+        )
+
+    rows = rows.withColumn("mixed", F.when(F.col("met").isNotNull(), _let(weights, mixed)))
+    each = F.sequence(F.lit(0), F.lit(len(found.languages)))
+
+    def distances(kind: str) -> Column:
+        own = F.filter("mixed.met", lambda b: b["kind"] == kind)
+        return _let(own, lambda o: F.when(F.size(o) > 0, F.transform(each, lambda n: _distance(o, n))))
+
+    rows = rows.withColumns({
+        "of_words": F.when(lang.isin(found.worded), distances("word")), "of_chars": distances("char"),
+        "bare": F.col("mixed.bare"),
+    })
+    rows = rows.withColumns({
+        "word_distance": F.array_min("of_words"), "char_distance": F.array_min("of_chars"),
+        "word_share": F.array_min(F.zip_with("of_words", "bare", F.try_divide)),
+    })
+    far_words = (F.col("n_words") >= MIN_WORDS) & (F.col("word_share") > MAX_WORD_SHARE)
     far_chars = (F.col("n_chars") >= MIN_CHARS) & (F.col("char_distance") > MAX_CHAR_DISTANCE)
     kept = ~F.col("base_failed") & ~F.coalesce(far_words, F.lit(False)) & ~F.coalesce(far_chars, F.lit(False))
-    return rows.withColumn("kept", kept).drop("bins", "met", "reference", "n_chars")
+    return rows.withColumn("kept", kept).drop(
+        "bins", "met", "mixed", "reference", "n_chars", "of_words", "of_chars", "bare", "word_share"
+    )
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``docs`` without the rows that are not ``kept``, same columns.
-
-    Only what the references are made of is written; the texts are read twice.
-    """
-    narrow = settled(_measured(docs, text_col, [lang_col]).select("row", "bins"))
-    reference = _reference(narrow, F.col("row").getField(lang_col))
-    verdicts = _verdicts(_measured(docs, text_col, docs.columns), reference)
-    # The row number keeps the filter where it is: pushed down, it would work out
-    # every column that it rests on again, once for each mention.
+    """``docs`` without the rows that are not ``kept``, same columns."""
+    found = references(docs, text_col, lang_col)
+    rows = _measured(docs, text_col, docs.columns, found)
+    verdicts = _verdicts(rows, found, F.col("row").getField(lang_col))
+    # As in _sums.
     numbered = verdicts.withColumn("at", F.monotonically_increasing_id())
     return unpacked(numbered.where(F.col("kept") & (F.col("at") >= 0)), docs.columns)

@@ -68,3 +68,16 @@ def test_distance_is_that_of_jensen_and_shannon(spark):
     middle = {k: (p.get(k, 0) + q.get(k, 0)) / 2 for k in "abc"}
     want = sum(x * math.log2(x / middle[k]) for d in (p, q) for k, x in d.items()) / 2
     assert abs(got - math.sqrt(want)) < 1e-12
+
+
+TABLE = SF_DIR.replace("0.001", "0.01")
+
+
+def test_copies_do_not_become_the_reference(spark):
+    docs = spark.read.parquet(f"{TABLE}/documents.parquet")
+    far = {r["doc_id"] for r in quality.judged(docs, carry=["doc_id"]).where("not kept and not base_failed").select("row.doc_id").collect()}
+    junk = " ".join(f"#{n}$%&* |<{n}>|" for n in range(100))
+    copies = spark.range(500).select((-1 - F.col("id")).alias("doc_id"), F.lit(junk).alias("text"), F.lit("de").alias("lang"))
+    more = quality.settled(docs.select("doc_id", "text", "lang").unionByName(copies))
+    kept = {r["doc_id"] for r in quality.keep_good(more).select("doc_id").collect()}
+    assert far and not kept & far and min(kept) >= 0
