@@ -81,3 +81,18 @@ def test_copies_do_not_become_the_reference(spark):
     more = quality.settled(docs.select("doc_id", "text", "lang").unionByName(copies))
     kept = {r["doc_id"] for r in quality.keep_good(more).select("doc_id").collect()}
     assert far and not kept & far and min(kept) >= 0
+
+
+def test_languages_without_a_list_of_their_own(spark):
+    docs = spark.read.parquet(f"{TABLE}/documents.parquet").select("doc_id", "text", "lang")
+    common = "и в не на что он с как это по но из за то все так".split()
+    prose = [" ".join(f"{common[(n * k) % 16]} слово{'абвгдежзик'[n % 10]}{'лмнопрстуф'[k % 10] * (k // 10 + 1)}" for k in range(60))
+             for n in range(1, 121, 2)]
+    rows = [(-n, t, "ru") for n, t in enumerate(prose, start=1)] + [(-100, prose[0] + " конец", "xx"), (-101, prose[1] + " конец", None)]
+    rows += [(-102, " ".join("#$%&*" + str(n) for n in range(120)), "ru")]
+    more = quality.settled(docs.unionByName(spark.createDataFrame(rows, docs.schema)))
+    found = quality.judged(more, carry=["doc_id"])
+    got = {r["row"]["doc_id"]: r for r in found.where("row.doc_id < 0").collect()}
+    assert all(got[-n]["kept"] and got[-n]["char_distance"] < 0.1 for n in range(1, 61))
+    assert got[-100]["kept"] and got[-101]["kept"] and got[-100]["word_distance"] is None
+    assert not got[-102]["kept"] and not got[-102]["base_failed"]
