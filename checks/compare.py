@@ -36,13 +36,18 @@ def database(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return db
 
 
+def _whole_with_nulls(values: pd.Series) -> bool:
+    """Whether these are integers that became floats for the nulls among them."""
+    return pd.api.types.is_float_dtype(values) and values.isna().any() and (values.dropna() % 1 == 0).all()
+
+
 def _sorted(df: pd.DataFrame) -> pd.DataFrame:
     df = df[sorted(df.columns)]
     for c in df.columns:
         if pd.api.types.is_datetime64_any_dtype(df[c]):
             df[c] = df[c].astype("datetime64[us]")
-        elif pd.api.types.is_integer_dtype(df[c]):
-            df[c] = df[c].astype("int64")
+        elif pd.api.types.is_integer_dtype(df[c]) or _whole_with_nulls(df[c]):
+            df[c] = df[c].astype("Int64")
     return df.sort_values(list(df.columns)).reset_index(drop=True)
 
 
