@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, exact_dedup, html, mixing, near, personal, quality, secrets, sharding, tokens
+from millrace.llm import (
+    chat, exact_dedup, html, infill, mixing, near, passages, periodic, personal, quality, secrets, sharding, tokens,
+)
 from millrace.llm.shared import words
 from millrace.session import use_utc, with_package
 
@@ -127,6 +129,49 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(_table(spark, sf_dir, "documents")).drop("row_no")
 
 
+def planted(text: Column, doc_id: Column) -> Column:
+    """The text, or, for a tenth of the ids by their hash, one whose words repeat from some
+    word on with some period."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10)
+    said = words(text)
+    n = F.size(said).cast("long")
+    a = g % n
+    period = 1 + F.floor((n - a) / (3 + g % 8))
+    block = F.slice(said, (a + 1).cast("int"), period.cast("int"))
+    times = F.ceil((n - a) / period).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(block, times)), F.lit(1), (n - a).cast("int"))
+    whole = F.array_join(F.concat(F.slice(said, F.lit(1), a.cast("int")), tail), " ")
+    return F.when(h % 10 == 0, F.when(n > 0, whole)).otherwise(text)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", planted(F.col("text"), F.col("doc_id")).alias("text"))
+    best = F.col("strongest")
+    return periodic.periodic_runs(docs).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"),
+        best["length"].alias("length"), best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(periodic.as_lines("runs"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.infilled(_table(spark, sf_dir, "documents"), seed=42)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(), 256).alias("restored_sha256"),
+    )
+
+
+def op13_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return passages.without_repeats(docs, kept_as=lambda text: F.sha2(text, 256)).select(
+        "doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256")
+    )
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_byte_bpe": op2_byte_bpe,
@@ -138,4 +183,7 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_infill": op12_infill,
+    "op13_passages": op13_passages,
 }

@@ -73,7 +73,63 @@ SELECT doc_id, domain, lang, source, n_tokens, budget,
 FROM run
 """
 
+_INFILL = r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS digest,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS tokens
+  FROM documents
+), cuts AS (
+  SELECT doc_id, text, tokens, len(tokens)::BIGINT AS n,
+    ('0x' || substr(digest, 1, 8))::BIGINT % (n + 1) AS c1, ('0x' || substr(digest, 9, 8))::BIGINT % (n + 1) AS c2,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+        OR ('0x' || substr(digest, 17, 8))::BIGINT % 100 >= 50 THEN 'plain'
+      WHEN ('0x' || substr(digest, 25, 8))::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), parts AS (
+  SELECT doc_id, text, n, form, array_to_string(tokens[1:least(c1, c2)], '') AS prefix,
+    array_to_string(tokens[least(c1, c2) + 1:greatest(c1, c2)], '') AS middle,
+    array_to_string(tokens[greatest(c1, c2) + 1:], '') AS suffix
+  FROM cuts
+)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
+_PASSAGES = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS pos FROM docs WHERE len(words) >= 50
+), windows AS (
+  SELECT doc_id, pos, md5(array_to_string(words[pos:pos + 49], ' ')) AS content FROM starts
+), firsts AS (
+  SELECT content, min(doc_id) AS first_id FROM windows GROUP BY content
+), again AS (
+  SELECT doc_id, pos FROM windows JOIN firsts USING (content) WHERE first_id < doc_id
+), each AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM docs
+), covered AS (
+  SELECT e.doc_id, e.pos, e.word,
+    coalesce(max(a.pos) OVER (PARTITION BY e.doc_id ORDER BY e.pos), -49) + 49 >= e.pos AS gone
+  FROM each e LEFT JOIN again a ON a.doc_id = e.doc_id AND a.pos = e.pos
+), kept AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+    coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone), '') AS text
+  FROM covered GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(k.n_removed, 0)::BIGINT AS n_removed,
+  sha256(coalesce(k.text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k USING (doc_id)
+"""
+
 SQL = {
+    "op12_infill": _INFILL,
+    "op13_passages": _PASSAGES,
     "op4_mixing": _MIXING,
     "op3_chat_format": _CONVERSATIONS,
     "op9_exact_dedup": """

@@ -17,4 +17,4 @@ def test_query_equals_sql(spark, name):
 
 def test_one_query_for_each_operator():
     numbers = [int(name[2:].split("_")[0]) for name in driver.queries() if name.startswith("op")]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in driver.queries()
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in driver.queries()
