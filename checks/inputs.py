@@ -132,18 +132,6 @@ def json_messages(spark: SparkSession, sf_dir: str, damaged: bool = False,
 # -- arrivals -------------------------------------------------------------------
 
 
-def late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event with the time it arrives: some minutes, hours or a day late."""
-    n = F.col("event_id")
-    delay = (
-        F.when(n % 101 == 0, F.expr("interval 30 hours"))
-        .when(n % 7 == 0, F.expr("interval 90 minutes"))
-        .when(n % 5 == 0, F.expr("interval 20 minutes"))
-        .otherwise(F.expr("interval 0 minutes"))
-    )
-    return events(spark, sf_dir).withColumn("arrival", F.col("ts") + delay)
-
-
 STREAM_SCHEMA = "event_id bigint, payload string, timestamp_ms string"
 ROUNDS = 3
 _FIRST_DAY = 19723  # 2024-01-01, where the events begin

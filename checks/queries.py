@@ -14,7 +14,6 @@ from checks.inputs import (
     finance_files,
     finance_lines,
     json_messages,
-    late_arrivals,
     lines,
     ntz,
     table,
@@ -38,10 +37,12 @@ from millrace.operators.windows import with_shard_table, with_typed_window, with
 from millrace.plans import account_blocks, fixed_tables, pane_files, window_tables, word_report
 from millrace.session import scratch_path
 from millrace.sinks import files
+from millrace.sinks.commits import appended
 from millrace.sources.layout import spread_small
 from millrace.sources.schema import load_schema, schema_from_json
 from millrace.sources.text import ACCOUNT, parse_finance_lines, scan_finance_lines, scan_text, scan_values
-from millrace.streaming.panes import Trigger, stream_panes
+from millrace.streaming import sinks as stream_sinks
+from millrace.streaming.panes import PaneRules, Trigger, stream_panes
 from millrace.streaming.windows import closed_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -373,6 +374,19 @@ def sink_table_append(spark, sf_dir):
     return _plain(spark.read.parquet(path))
 
 
+@query
+def sink_table_append_again(spark, sf_dir):
+    """The two appends of ``sink_table_append``, each run twice."""
+    path = scratch_path(spark, "appended")
+    for batch in (0, 1, 0, 1):
+        sent = with_window(json_messages(spark, sf_dir, damaged=batch == 1), "event_ts", minutes(5))
+        built = rows.project_schema(
+            sent, SCHEMA, event_ts="event_ts", window="window", process_ts=_process_ts(), on_error="drop",
+        )
+        files.append_table(built, path, SCHEMA, batch=batch)
+    return _plain(appended(spark, path))
+
+
 @query
 def denylist_table(spark, sf_dir):
     path = scratch_path(spark, "denylist")
@@ -401,6 +415,17 @@ def sink_table_per_window(spark, sf_dir):
     return _plain(spark.read.parquet(path))
 
 
+@query
+def sink_table_per_window_again(spark, sf_dir):
+    """Two batches of messages, one of them run twice."""
+    path = scratch_path(spark, "by-window")
+    for batch in (0, 1, 0):
+        sent = json_messages(spark, sf_dir).where(F.col("event_id") % 2 == batch)
+        built = window_tables.rows(sent, SCHEMA, "Messages", shard_type="THREE_HOUR", process_ts=_process_ts())
+        files.append_window_tables(built, path, SCHEMA, batch=batch)
+    return _plain(appended(spark, path))
+
+
 @query
 def sink_table_per_window_stream(spark, sf_dir):
     def start(sent, target, checkpoint):
@@ -564,23 +589,6 @@ def sink_pane_files_written(spark, sf_dir):
     )
 
 
-@query
-def late_drop(spark, sf_dir):
-    timed = panes.classify_timing(
-        late_arrivals(spark, sf_dir), "ts", "arrival", hours(1), 24 * 3600 * 1000
-    )
-    return timed.select("event_id", ntz(F.col("watermark")).alias("watermark"), "timing")
-
-
-@query
-def late_drop_hot(spark, sf_dir):
-    """As if every second of arrivals were too crowded for one task."""
-    timed = panes.classify_timing(
-        late_arrivals(spark, sf_dir), "ts", "arrival", hours(1), 24 * 3600 * 1000, max_task_rows=0
-    )
-    return timed.select("event_id", ntz(F.col("watermark")).alias("watermark"), "timing")
-
-
 # -- streams -------------------------------------------------------------------------
 
 
@@ -599,10 +607,10 @@ DAY_MS = 86_400_000
 NEVER_MS = 10**15
 
 
-def _closed_hours(spark: SparkSession, sf_dir: str, late: bool, allowed_lateness_ms: int) -> DataFrame:
+def _closed(spark: SparkSession, sf_dir: str, size: WindowSize, late: bool, allowed_lateness_ms: int) -> DataFrame:
     def start(sent, target, checkpoint):
         closed = closed_windows(
-            sent, "event_ts", hours(1), F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("sum_ids"),
+            sent, "event_ts", size, F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("sum_ids"),
             allowed_lateness_ms=allowed_lateness_ms,
         )
         return closed.writeStream.outputMode("append").format("parquet").option(
@@ -615,81 +623,138 @@ def _closed_hours(spark: SparkSession, sf_dir: str, late: bool, allowed_lateness
 
 @query
 def trig_watermark(spark, sf_dir):
-    return _closed_hours(spark, sf_dir, late=False, allowed_lateness_ms=0)
+    return _closed(spark, sf_dir, hours(1), late=False, allowed_lateness_ms=0)
 
 
 @query
 def trig_watermark_late(spark, sf_dir):
     """A third of the messages three days late, two days of which are allowed."""
-    return _closed_hours(spark, sf_dir, late=True, allowed_lateness_ms=2 * DAY_MS)
+    return _closed(spark, sf_dir, hours(1), late=True, allowed_lateness_ms=2 * DAY_MS)
+
+
+@query
+def trig_watermark_months(spark, sf_dir):
+    """A third of the messages three days late, which is less than a month waits."""
+    return _closed(spark, sf_dir, months(1), True, 3 * DAY_MS)
 
 
 def _shard_of() -> Column:
     return F.pmod(F.col("event_id"), F.lit(4))
 
 
-def _stream_panes(spark: SparkSession, sf_dir: str, early: Trigger | None, late: Trigger | None) -> DataFrame:
-    """Day windows with a day of lateness, the shards of a window told by event."""
+def _cut(spark: SparkSession, sf_dir: str, rules: PaneRules) -> tuple[DataFrame, DataFrame]:
+    """The panes and the dropped rows of a stream a third of whose messages come three days late."""
     def start(sent, target, checkpoint):
-        cut = stream_panes(
-            sent, "event_ts", days(1), DAY_MS, early, late,
-            shards=_shard_of(),
+        return stream_panes(
+            sent, rules, f"{target}/ledger", checkpoint, stream_sinks.table(f"{target}/panes"),
+            stream_sinks.table(f"{target}/late"),
         )
-        return cut.writeStream.outputMode("append").format("parquet").option(
-            "path", target
-        ).option("checkpointLocation", checkpoint)
 
-    fired = spark.read.parquet(replay(spark, sf_dir, start, late=True)).where(F.col("event_id") >= 0)
-    return fired.withColumn("window_start", ntz(F.col("window")["start"]))
+    target = replay(spark, sf_dir, start, late=True)
+    window_start = ntz(F.col("window")["start"]).alias("window_start")
+    return tuple(
+        appended(spark, f"{target}/{name}").where(F.col("event_id") >= 0).select("*", window_start)
+        for name in ("panes", "late")
+    )
+
 
+def _days(early: Trigger | None, late: Trigger | None, **options) -> PaneRules:
+    """Day windows with a day of lateness, the shards of a window told by event."""
+    options = {"shards": _shard_of(), "order": ["event_id"]} | options
+    return PaneRules("event_ts", days(1), DAY_MS, early, late, **options)
 
-def _sizes(fired: DataFrame) -> DataFrame:
-    return fired.groupBy("window_start", "shard", *_PANE).agg(F.count(F.lit(1)).alias("n"))
+
+def _panes_of(spark: SparkSession, sf_dir: str, rules: PaneRules) -> DataFrame:
+    """Which events each pane holds."""
+    fired, _ = _cut(spark, sf_dir, rules)
+    ids = F.transform(F.sort_array(F.collect_list("event_id")), lambda v: v.cast("string"))
+    return fired.groupBy("window_start", "shard", *_PANE).agg(
+        F.count(F.lit(1)).alias("n"), F.array_join(ids, ",").alias("ids")
+    )
 
 
 @query
 def trig_early_count_stream(spark, sf_dir):
-    return _sizes(_stream_panes(spark, sf_dir, Trigger(count=20), Trigger(count=7)))
+    return _panes_of(spark, sf_dir, _days(Trigger(count=20), Trigger(count=7)))
 
 
 @query
 def trig_early_time(spark, sf_dir):
-    fired = _stream_panes(spark, sf_dir, Trigger(delay_ms=0), Trigger(delay_ms=0))
-    return _sizes(fired)
+    return _panes_of(spark, sf_dir, _days(Trigger(delay_ms=0), Trigger(delay_ms=0)))
+
+
+@query
+def trig_early_delay(spark, sf_dir):
+    """A delay that is over in the next round, whether the window has rows in it or not."""
+    shards = F.pmod(F.col("event_id"), F.lit(64))
+    return _panes_of(spark, sf_dir, _days(Trigger(delay_ms=1), Trigger(delay_ms=1), shards=shards))
 
 
 @query
 def trig_late_time(spark, sf_dir):
-    return _sizes(_stream_panes(spark, sf_dir, None, Trigger(delay_ms=0)))
+    return _panes_of(spark, sf_dir, _days(None, Trigger(delay_ms=0)))
 
 
 @query
 def trig_late_first(spark, sf_dir):
-    return _sizes(_stream_panes(spark, sf_dir, None, Trigger(count=7, delay_ms=0)))
+    return _panes_of(spark, sf_dir, _days(None, Trigger(count=7, delay_ms=0)))
+
+
+@query
+def pane_info_stream(spark, sf_dir):
+    """The newest pane is held back, so that the last one of each window is known."""
+    return _panes_of(spark, sf_dir, _days(Trigger(count=20), Trigger(count=7), hold_last=True))
+
+
+@query
+def with_constant_key_stream(spark, sf_dir):
+    """One sequence of panes a window, whatever its rows."""
+    return _panes_of(spark, sf_dir, _days(Trigger(count=20), Trigger(count=7), shards=1))
 
 
 @query
 def pane_discard(spark, sf_dir):
     """Which event came in which pane: each in one."""
-    fired = _stream_panes(spark, sf_dir, Trigger(delay_ms=0), Trigger(delay_ms=0))
+    fired, _ = _cut(spark, sf_dir, _days(Trigger(delay_ms=0), Trigger(delay_ms=0)))
     return fired.select("event_id", "window_start", "shard", "pane_index", "timing")
 
 
+def _kept_and_dropped(spark: SparkSession, sf_dir: str, rules: PaneRules) -> DataFrame:
+    """Every event in one of the two outputs."""
+    fired, late = _cut(spark, sf_dir, rules)
+    nothing = F.lit(None).cast("timestamp_ntz").alias("watermark")
+    return fired.select("event_id", "window_start", "timing", nothing).unionByName(
+        late.select("event_id", "window_start", F.lit("DROPPED").alias("timing"), ntz(F.col("watermark")).alias("watermark"))
+    )
+
+
+@query
+def late_drop(spark, sf_dir):
+    """Hours that take rows for two days after their end."""
+    return _kept_and_dropped(spark, sf_dir, PaneRules("event_ts", hours(1), 2 * DAY_MS, late=Trigger(delay_ms=0)))
+
+
+@query
+def late_drop_hot(spark, sf_dir):
+    """A third of all rows in one window and one sequence, which takes nothing after its end."""
+    return _kept_and_dropped(spark, sf_dir, PaneRules("event_ts", days(11), 2 * DAY_MS))
+
+
 @query
 def pane_files_stream(spark, sf_dir):
-    """The hourly pane files, by their folders: a file each."""
+    """The pane files by their names, with their bytes."""
     def start(sent, target, checkpoint):
         return pane_files.writer(
-            sent, target, checkpoint, size=days(1), allowed_lateness_ms=DAY_MS, pane_elements=20,
-            late_delay_ms=NEVER_MS, shards=_shard_of(),
+            sent.withColumn("payload", F.concat(F.col("event_id").cast("string"), F.lit(";"))),
+            f"{target}/files", f"{target}/ledger", checkpoint, "requests", size=days(1),
+            allowed_lateness_ms=DAY_MS, pane_elements=20, late_delay_ms=NEVER_MS, shards=_shard_of(), order=["event_id"],
         )
 
-    read = spark.read.text(replay(spark, sf_dir, start, late=True)).where(F.col("value") != "{}")
-    return read.groupBy(
-        F.date_format("window_max_ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("window_max_ts"),
-        F.col("shard").cast("int"), F.col("pane_index").cast("bigint"),
-    ).agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct(F.col("_metadata.file_path")).alias("n_files")
+    root = f"{replay(spark, sf_dir, start, late=True)}/files"
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    name = F.element_at(F.split("path", "/files/"), -1)
+    return read.where(F.col("content") != F.lit("-1;").cast("binary")).select(
+        F.url_decode(name).alias("file"), F.col("content").cast("string").alias("body")
     )
 
 

@@ -11,7 +11,6 @@ from pyspark.sql.streaming import DataStreamWriter
 from checks.inputs import STREAM_SCHEMA, stream_rounds
 from millrace.session import scratch_path
 from millrace.sources.messages import message_stream
-from millrace.streaming.panes import STATE_PROVIDER, STATE_PROVIDER_CONF
 
 PARTITIONS_CONF = "spark.sql.shuffle.partitions"
 
@@ -20,20 +19,14 @@ Start = Callable[[DataFrame, str, str], DataStreamWriter]
 
 @contextmanager
 def _stream_settings(spark: SparkSession) -> Iterator[None]:
-    """The state store the panes need; and on one machine no more state partitions
-    than it has cores, each being a Python worker."""
-    wanted = {STATE_PROVIDER_CONF: STATE_PROVIDER}
+    """On one machine no more state partitions than it has cores."""
+    before = spark.conf.get(PARTITIONS_CONF)
     if spark.sparkContext.master.startswith("local"):
-        cores = spark.sparkContext.defaultParallelism
-        wanted[PARTITIONS_CONF] = str(min(cores, int(spark.conf.get(PARTITIONS_CONF))))
-    before = {name: spark.conf.get(name, None) for name in wanted}
-    for name, value in wanted.items():
-        spark.conf.set(name, value)
+        spark.conf.set(PARTITIONS_CONF, str(min(spark.sparkContext.defaultParallelism, int(before))))
     try:
         yield
     finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+        spark.conf.set(PARTITIONS_CONF, before)
 
 
 def replay(spark: SparkSession, sf_dir: str, start: Start, late: bool = False) -> str:

@@ -186,25 +186,6 @@ FROM ({{panes}}) WHERE event_type <> 'signup'
 """.replace("{panes}", panes("1 hour", 5).replace(
     "ORDER BY ts, event_id", "ORDER BY date_trunc('milliseconds', ts), event_id"))
 
-LATE = f"""
-WITH arrived AS (
-  SELECT *, ts + CASE WHEN event_id % 101 = 0 THEN INTERVAL 30 HOURS
-      WHEN event_id % 7 = 0 THEN INTERVAL 90 MINUTES
-      WHEN event_id % 5 = 0 THEN INTERVAL 20 MINUTES ELSE INTERVAL 0 MINUTES END AS arrival,
-    {bucket('1 hour')} + INTERVAL 1 HOUR AS window_end
-  FROM events
-), met AS (
-  SELECT *, max(ts) OVER (ORDER BY arrival RANGE BETWEEN UNBOUNDED PRECEDING
-    AND INTERVAL 1 MICROSECOND PRECEDING) AS watermark
-  FROM arrived
-)
-SELECT event_id, watermark,
-  CASE WHEN watermark IS NULL OR watermark < window_end THEN 'EARLY'
-    WHEN epoch_ms(watermark) - epoch_ms(window_end) < 86400000 THEN 'LATE'
-    ELSE 'DROPPED' END AS timing
-FROM met
-"""
-
 # -- panes, streams ---------------------------------------------------------------
 
 # Messages come in three rounds of eleven days, a third of them three days late.
@@ -221,39 +202,43 @@ WITH sent AS (
     AND 1 PRECEDING) AS watermark
   FROM sent GROUP BY turn
 ), moved AS (
-  SELECT CASE WHEN turn = 2 THEN TIMESTAMP '2100-01-01' ELSE max(watermark) OVER (ORDER BY turn
+  SELECT turn, CASE WHEN turn = 2 THEN TIMESTAMP '2100-01-01' ELSE max(watermark) OVER (ORDER BY turn
     ROWS BETWEEN 1 FOLLOWING AND 1 FOLLOWING) END AS watermark FROM marks
 ), accepted AS (
-  SELECT s.*, (SELECT min(m.watermark) FROM moved m
-      WHERE m.watermark >= window_start + INTERVAL 1 DAY) >= window_start + INTERVAL 2 DAYS AS given_up,
+  SELECT s.*, (SELECT min(m.turn) FROM moved m WHERE m.watermark >= window_start + INTERVAL 1 DAY) AS end_turn,
+    (SELECT min(m.turn) FROM moved m WHERE m.watermark >= window_start + INTERVAL 2 DAYS) AS close_turn,
     coalesce(watermark >= window_start + INTERVAL 1 DAY, false) AS past
   FROM sent s JOIN marks USING (turn)
   WHERE watermark IS NULL OR watermark < window_start + INTERVAL 2 DAYS
 )"""
 
 
-def fired(early: str, late: str) -> str:
+def fired(early: str, late: str, shard: str = "shard", hold: bool = False, fires: str = "max(turn)",
+          holds: str = "string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS ids") -> str:
     """``early`` and ``late`` number the panes of a phase; 1000000 is what is left
-    at its end, which is the last pane of the window if the window is given up."""
+    at its end.  A pane which fires (in the round ``fires``) as the window closes is known to be
+    the last; with ``hold`` the last pane is, whenever it fired."""
+    newest = "row_number() OVER (PARTITION BY window_start, shard ORDER BY past DESC, part DESC) = 1"
     return f"""{ACCEPTED}, ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY window_start, shard, past ORDER BY event_id) AS rn,
+  SELECT * REPLACE (CAST({shard} AS INTEGER) AS shard) FROM accepted
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY window_start, shard, past ORDER BY turn, event_id) AS rn,
     count(*) OVER (PARTITION BY window_start, shard, past) AS total,
     row_number() OVER (PARTITION BY window_start, shard, past, turn ORDER BY event_id) AS turn_rn,
-    count(*) OVER (PARTITION BY window_start, shard, past, turn) AS turn_total
-  FROM accepted
+    min(turn) OVER (PARTITION BY window_start, shard) AS first_turn
+  FROM ranked
 ), parted AS (
-  SELECT *, CASE WHEN past THEN {late} ELSE {early} END AS part FROM ranked
+  SELECT *, CASE WHEN past THEN {late} ELSE {early} END AS part FROM numbered
 ), sized AS (
-  SELECT window_start, CAST(shard AS INTEGER) AS shard, past, part,
-    part = 1000000 AND (past OR given_up) AS is_last, count(*) AS n
-  FROM parted GROUP BY ALL
-), numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY window_start, shard ORDER BY past, part) - 1 AS pane_index
-  FROM sized
+  SELECT window_start, shard, past, part, close_turn, count(*) AS n, {holds},
+    CASE WHEN part < 1000000 THEN {fires} WHEN past THEN close_turn ELSE end_turn END AS fire_turn
+  FROM parted GROUP BY window_start, shard, past, part, close_turn, end_turn, first_turn
 )
-SELECT window_start, shard, pane_index, is_last, n, pane_index = 0 AS is_first,
+SELECT * EXCLUDE (past, part, close_turn, fire_turn), {newest + ("" if hold else " AND fire_turn = close_turn")} AS is_last,
+  row_number() OVER (PARTITION BY window_start, shard ORDER BY past, part) - 1 AS pane_index,
+  row_number() OVER (PARTITION BY window_start, shard ORDER BY past, part) = 1 AS is_first,
   CASE WHEN past THEN 'LATE' WHEN part = 1000000 THEN 'ON_TIME' ELSE 'EARLY' END AS timing
-FROM numbered
+FROM sized
 """
 
 
@@ -264,6 +249,9 @@ def counted(n: int, rn: str = "rn", total: str = "total") -> str:
 
 BY_TURN = "turn"
 AT_END = "1000000"
+# What came in a window's first round fires in the next, with what came by then, if the window is open.
+NEXT_TURN = """CASE WHEN turn <= first_turn + 1 AND EXISTS (SELECT 1 FROM marks m
+    WHERE m.turn = first_turn + 1 AND m.watermark < window_start + INTERVAL 1 DAY) THEN 0 ELSE 1000000 END"""
 COUNT_OR_TURN = "turn * 1000 + (turn_rn - 1) // 7"
 
 PANE_DISCARD = f"""{ACCEPTED}
@@ -274,11 +262,27 @@ FROM accepted
 """
 
 STREAM_FILES = f"""
-SELECT strftime(window_start + INTERVAL 1 DAY - INTERVAL 1 MILLISECOND, '{ISO}') AS window_max_ts,
-  shard, pane_index, n, CAST(1 AS BIGINT) AS n_files
-FROM ({fired(counted(20), counted(20))})
+SELECT 'requests/' || strftime(window_start + INTERVAL 1 DAY - INTERVAL 1 MILLISECOND, '{ISO}') || '/' ||
+  shard || '/' || pane_index AS file, body
+FROM ({fired(counted(20), counted(20), holds="string_agg(event_id || ';', '' ORDER BY turn, event_id) AS body")})
 """
 
+
+def kept_and_dropped(window: str, kept: str, late: str) -> str:
+    """Windows of ``window`` take rows for ``kept`` after their end, as ``late`` panes."""
+    start = bucket(window, "event_ts")
+    return f"""{ACCEPTED}, met AS (
+  SELECT event_id, {start} AS window_start, {start} + INTERVAL {window} AS window_end, watermark
+  FROM sent JOIN marks USING (turn)
+), told AS (
+  SELECT *, coalesce(watermark >= window_end + INTERVAL {kept}, false) AS dropped FROM met
+)
+SELECT event_id, window_start, CASE WHEN dropped THEN watermark END AS watermark,
+  CASE WHEN dropped THEN 'DROPPED' WHEN watermark >= window_end THEN '{late}' ELSE 'ON_TIME' END AS timing
+FROM told
+"""
+
+
 SQL = {
     "scan_text_lines": "SELECT unnest(string_split(text, chr(10))) AS value FROM documents",
     "sink_text": f"SELECT word FROM ({WORDS})",
@@ -348,6 +352,9 @@ UNION ALL SELECT AccountDescription, side, chr(9) || CAST(Amount AS VARCHAR) FRO
     "sink_table_append": messages() + " UNION ALL " + messages(where=GOOD),
     "sink_table_per_window": messages(
         f", 'Messages_' || strftime({bucket('3 hours', 'event_ts')}, '%Y%m%d_%-H%M') AS table_name"),
+    "sink_table_per_window_again": messages(
+        f", 'Messages_' || strftime({bucket('3 hours', 'event_ts')}, '%Y%m%d_%-H%M') AS table_name"),
+    "sink_table_append_again": messages() + " UNION ALL " + messages(where=GOOD),
     "sink_table_per_window_stream": messages(", 'Messages_' || strftime(ts, '%Y%m%d') AS table_name"),
     "win_fixed_5_minutes": windowed("5 minutes"),
     "win_fixed_1_hour": windowed("1 hour"),
@@ -380,8 +387,8 @@ FROM ({panes('1 hour', 5)}) GROUP BY 1, 2""",
 SELECT strftime(window_start + INTERVAL 1 DAY - INTERVAL 1 MILLISECOND, '{ISO}') AS window_max_ts,
   pane_index, string_agg(props || chr(10), '' ORDER BY ts, event_id) AS body
 FROM ({panes('1 day', 100)}) GROUP BY window_start, pane_index""",
-    "late_drop": LATE,
-    "late_drop_hot": LATE,
+    "late_drop": kept_and_dropped("1 hour", "2 days", "LATE"),
+    "late_drop_hot": kept_and_dropped("11 days", "0 days", "LATE"),
     "trig_watermark": f"""
 SELECT {bucket('1 hour')} AS window_start, {bucket('1 hour')} + INTERVAL 1 HOUR AS window_end,
   count(*) AS n, CAST(sum(event_id) AS BIGINT) AS sum_ids FROM events GROUP BY 1, 2""",
@@ -391,8 +398,14 @@ SELECT {bucket('1 hour', 'event_ts')} AS window_start, {bucket('1 hour', 'event_
 FROM sent JOIN marks USING (turn)
 WHERE watermark IS NULL OR {bucket('1 hour', 'event_ts')} + INTERVAL 1 HOUR > watermark - INTERVAL 2 DAYS
 GROUP BY 1, 2""",
+    "trig_watermark_months": """
+SELECT date_trunc('month', ts) AS window_start, date_trunc('month', ts) + INTERVAL 1 MONTH AS window_end,
+  count(*) AS n, CAST(sum(event_id) AS BIGINT) AS sum_ids FROM events GROUP BY 1, 2""",
     "trig_early_count_stream": fired(counted(20), counted(7)),
     "trig_early_time": fired(BY_TURN, BY_TURN),
+    "trig_early_delay": fired(NEXT_TURN, AT_END, shard="event_id % 64", fires="first_turn + 1"),
+    "pane_info_stream": fired(counted(20), counted(7), hold=True),
+    "with_constant_key_stream": fired(counted(20), counted(7), shard="0"),
     "trig_late_time": fired(AT_END, BY_TURN),
     "trig_late_first": fired(AT_END, COUNT_OR_TURN),
     "pane_discard": PANE_DISCARD,

@@ -1,14 +1,13 @@
-"""Batch form of windows cut into panes, and of late data.
-
-Both are valid runs of the streaming operator in ``millrace.streaming.panes``
-whose outcome does not depend on when a micro-batch happened to start.
+"""Batch form of windows cut into panes: a valid run of the streaming operator in
+``millrace.streaming.panes``, whose outcome does not depend on when a micro-batch
+happened to start.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +15,7 @@ from millrace.functions.windows import WindowSize, floor_div, pane_path, window_
 from millrace.operators.ordering import number_by_range, number_by_slot
 from millrace.session import settled
 
-EARLY, ON_TIME, LATE, DROPPED = "EARLY", "ON_TIME", "LATE", "DROPPED"
+EARLY, ON_TIME, LATE = "EARLY", "ON_TIME", "LATE"
 
 # Most rows that one task may have to sort because they share a slot.
 MAX_TASK_ROWS = 5_000_000
@@ -96,88 +95,3 @@ def pane_files(
         F.size("_elements").cast("bigint").alias("n_elements"),
         F.array_join(F.col("_elements")["_payload"], separator).alias("body"),
     )
-
-
-def classify_timing(
-    df: DataFrame,
-    event_ts: str,
-    arrival: str,
-    size: WindowSize,
-    allowed_lateness_ms: int,
-    max_task_rows: int = MAX_TASK_ROWS,
-) -> DataFrame:
-    """Adds ``window``, ``watermark`` and ``timing``.
-
-    The watermark a row meets is the latest event time among all rows that
-    arrived at an earlier instant; rows of one instant arrive together.  EARLY: it
-    has not reached the end of the row's window.  LATE: it has, by less than the
-    allowed lateness.  DROPPED: by more.  A message has both times; rows that lack
-    one are left out.
-    """
-    at = F.unix_micros(arrival)
-    rows = (
-        df.where(F.col(event_ts).isNotNull() & F.col(arrival).isNotNull())
-        .withColumn("window", window_for(F.col(event_ts), size))
-        .withColumn("_at", at)
-        .withColumn("_second", floor_div(at, 1_000_000))
-    )
-    # One row per second of arrival: read three times, so settled.
-    seconds = settled(
-        rows.groupBy("_second").agg(F.max(event_ts).alias("_max"), F.count(F.lit(1)).alias(_N))
-    )
-    before = _max_before_second(seconds)
-    if _peak(seconds) <= max_task_rows:
-        within = Window.partitionBy("_second").orderBy("_at").rangeBetween(
-            Window.unboundedPreceding, -1
-        )
-        met = rows.withColumn("_here", F.max(event_ts).over(within)).join(before, "_second")
-    else:
-        met = _join_by_instant(rows, event_ts, before)
-    end = F.col("window")["end"]
-    lateness = F.unix_millis("watermark") - F.unix_millis(end)
-    return (
-        met.withColumn("watermark", F.greatest("_here", "_before"))
-        .withColumn(
-            "timing",
-            F.when(F.col("watermark").isNull() | (F.col("watermark") < end), EARLY)
-            .when(lateness < allowed_lateness_ms, LATE)
-            .otherwise(DROPPED),
-        )
-        .drop("_at", "_second", "_here", "_before")
-    )
-
-
-def _max_before_second(seconds: DataFrame) -> DataFrame:
-    """``(_second, _before)``: the latest event time before each second.
-
-    Two levels: a task adds up the 86,400 seconds of a day; the days themselves,
-    365 rows for a year of arrivals however many rows arrived, need no split.
-    """
-    rows = seconds.withColumn("_day", floor_div(F.col("_second"), 86_400))
-    past = (Window.unboundedPreceding, -1)
-    by_day = rows.groupBy("_day").agg(F.max("_max").alias("_max")).select(
-        "_day", F.max("_max").over(Window.orderBy("_day").rowsBetween(*past)).alias("_day_before")
-    )
-    in_day = Window.partitionBy("_day").orderBy("_second").rowsBetween(*past)
-    return (
-        rows.withColumn("_second_before", F.max("_max").over(in_day))
-        .join(by_day, "_day")
-        .select("_second", F.greatest("_second_before", "_day_before").alias("_before"))
-    )
-
-
-def _join_by_instant(rows: DataFrame, event_ts: str, before: DataFrame) -> DataFrame:
-    """For seconds too crowded to sort in one task: the running maximum is taken
-    over distinct instants (at most a million to a second, and a hot instant is
-    one row after partial aggregation), then joined to the rows.  The join has
-    one row per instant on its right side, so adaptive execution can split a hot
-    instant over many tasks."""
-    within = Window.partitionBy("_second").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    instants = (
-        rows.groupBy("_second", "_at")
-        .agg(F.max(event_ts).alias("_max"))
-        .withColumn("_here", F.max("_max").over(within))
-        .join(before, "_second")
-        .select("_at", "_here", "_before")
-    )
-    return rows.join(instants, "_at")

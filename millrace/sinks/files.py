@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.windows import window_max_ts
+from millrace.sinks.commits import BATCH_COLUMN, append_once
 
 TABLE_COLUMN = "table_name"
 _NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
@@ -32,10 +33,12 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def _shape(schema: T.StructType) -> dict[str, str]:
     # The table name comes back from folder names, so its type is not stored.
-    return {f.name: f.dataType.simpleString() for f in schema.fields if f.name != TABLE_COLUMN}
+    return {
+        f.name: f.dataType.simpleString() for f in schema.fields if f.name not in (TABLE_COLUMN, BATCH_COLUMN)
+    }
 
 
-def _check_existing(df: DataFrame, path: str) -> None:
+def _check_existing(df: DataFrame, path: str, by_batch: bool) -> None:
     try:
         existing = df.sparkSession.read.parquet(path).schema
     except AnalysisException as problem:
@@ -45,27 +48,39 @@ def _check_existing(df: DataFrame, path: str) -> None:
     old, new = _shape(existing), _shape(df.schema)
     if old != new:
         raise ValueError(f"table at {path} has columns {old}, not {new}")
+    if (BATCH_COLUMN in existing.fieldNames()) != by_batch:
+        raise ValueError(f"all appends to {path} name their batch, or none does")
 
 
-def append_table(df: DataFrame, path: str, schema: T.StructType) -> None:
-    """Append to a table of a declared schema, creating it if it is not there."""
+def append_table(df: DataFrame, path: str, schema: T.StructType, batch: int | str | None = None) -> None:
+    """Append to a table of a declared schema, creating it if it is not there.
+
+    With ``batch``, the rows of a batch are there once, however often it is appended;
+    read the table with ``sinks.commits.appended``.
+    """
     rows = conform(df, schema)
-    _check_existing(rows, path)
-    rows.write.mode("append").parquet(path)
+    _check_existing(rows, path, batch is not None)
+    if batch is None:
+        rows.write.mode("append").parquet(path)
+    else:
+        append_once(rows, path, batch)
 
 
-def append_window_tables(df: DataFrame, path: str, schema: T.StructType) -> None:
-    """Append every row to the table its ``table_name`` says.
+def append_window_tables(df: DataFrame, path: str, schema: T.StructType, batch: int | str | None = None) -> None:
+    """Append every row to the table its ``table_name`` says, once if ``batch`` is given, as
+    of ``append_table``.
 
     The tables are partition folders of one Parquet set, so a reader that filters
     on ``table_name`` opens one folder.  Rebalancing gives each table few files;
     adaptive execution splits the partition of a table that holds most rows.
     """
     rows = conform(df, T.StructType([*schema.fields, T.StructField(TABLE_COLUMN, T.StringType())]))
-    _check_existing(rows, path)
-    rows.hint("rebalance", F.col(TABLE_COLUMN)).write.mode("append").partitionBy(
-        TABLE_COLUMN
-    ).parquet(path)
+    _check_existing(rows, path, batch is not None)
+    rows = rows.hint("rebalance", F.col(TABLE_COLUMN))
+    if batch is None:
+        rows.write.mode("append").partitionBy(TABLE_COLUMN).parquet(path)
+    else:
+        append_once(rows, path, batch, [TABLE_COLUMN])
 
 
 def write_pane_files(

@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from millrace.streaming.panes import STATE_PROVIDER, STATE_PROVIDER_CONF  # noqa: E402
+
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -23,7 +23,6 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-        .config(STATE_PROVIDER_CONF, STATE_PROVIDER)
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -102,46 +102,3 @@ def test_pane_files(spark):
 
 
 # -- lateness -------------------------------------------------------------------
-
-
-def _arrived(spark, *rows):
-    return spark.createDataFrame(list(rows), "id int, s int, a int").select(
-        "id",
-        F.timestamp_seconds(F.lit(BASE_S) + F.col("s")).alias("ts"),
-        F.timestamp_seconds(F.lit(BASE_S) + F.col("a")).alias("arrival"),
-    )
-
-
-@pytest.mark.parametrize("task_rows", [10**9, 0])
-def test_lateness_borders(spark, task_rows):
-    df = _arrived(
-        spark,
-        (1, 10, 10),        # first: no watermark yet
-        (2, 299, 20),
-        (3, 20, 30),        # watermark 299 s, window ends at 300 s
-        (4, 300, 40),
-        (5, 30, 50),        # watermark exactly at the end: late
-        (6, 359, 60),
-        (7, 40, 70),        # one second of lateness left
-        (8, 360, 80),
-        (9, 50, 90),        # end + lateness: dropped
-        (10, 370, 90),      # same instant: neither sees the other
-        (11, 365, 90000),   # a day on: its own window is long closed
-    )
-    got = panes.classify_timing(df, "ts", "arrival", minutes(5), 60_000, max_task_rows=task_rows)
-    assert {r["id"]: r["timing"] for r in got.collect()} == {
-        1: "EARLY", 2: "EARLY", 3: "EARLY", 4: "EARLY", 5: "LATE", 6: "EARLY",
-        7: "LATE", 8: "EARLY", 9: "DROPPED", 10: "EARLY", 11: "EARLY",
-    }
-
-
-@pytest.mark.parametrize("task_rows", [10**9, 0])
-def test_watermark_crosses_seconds_and_days(spark, task_rows):
-    df = _arrived(spark, *[(i, (i * 7919) % 300000, i * 5003) for i in range(300)])
-    got = panes.classify_timing(df, "ts", "arrival", minutes(5), 60_000, max_task_rows=task_rows)
-    rows = sorted(got.collect(), key=lambda r: r["arrival"])
-    seen = None
-    for r in rows:
-        assert r["watermark"] == seen
-        seen = r["ts"] if seen is None else max(seen, r["ts"])
-    assert len(rows) == 300

@@ -5,7 +5,8 @@ from pyspark.sql import types as T
 from millrace.functions.windows import minutes
 from millrace.operators import panes
 from millrace.session import scratch_path, shared_root
-from millrace.sinks import files
+from millrace.sinks import commits, files
+from millrace.sinks.pane_format import write_named_files
 from millrace.sources.layout import spread_small
 from conftest import BASE_S
 
@@ -73,6 +74,63 @@ def test_pane_files_with_a_separator(spark, tmp_path):
     assert sorted(p.read_text() for p in (tmp_path / "p").rglob("part-*")) == ["0;1;2;3;", "4;5;"]
 
 
+def test_a_batch_is_appended_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    rows = spark.range(10).select("id", F.lit("x").alias("name"))
+    broken = rows.withColumn("name", F.when(F.col("id") == 7, F.raise_error(F.lit("broken off"))).otherwise("x"))
+    with pytest.raises(Exception, match="broken off"):
+        files.append_table(broken, path, SCHEMA, batch=0)
+    for batch in (0, 1, 1, 0):
+        files.append_table(rows, path, SCHEMA, batch=batch)
+    got = commits.appended(spark, path)
+    assert got.columns == ["id", "name"] and sorted(r["id"] for r in got.collect()) == sorted([*range(10)] * 2)
+    with pytest.raises(ValueError, match="name their batch"):
+        files.append_table(rows, path, SCHEMA)
+
+
+def test_a_window_table_batch_is_appended_once_and_pruned(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(99).select(
+        "id", F.lit("x").alias("name"), F.concat(F.lit("T_"), (F.col("id") % 3).cast("string")).alias("table_name")
+    )
+    for batch in ("a", "b", "a"):
+        files.append_window_tables(df, path, SCHEMA, batch=batch)
+    one = commits.appended(spark, path).where("table_name = 'T_1'")
+    assert one.count() == 66
+    assert "PartitionFilters: [isnotnull(table_name" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_write_once_keeps_what_is_there(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert commits.write_once(spark.range(3), path).count() == 3
+    assert commits.write_once(spark.range(5), path).count() == 3
+    commits.delete(spark, path)
+    assert not commits.exists(spark, path)
+
+
+@pytest.mark.parametrize("separator", ["", "\n", "é;"])
+def test_named_files(spark, tmp_path, separator):
+    rows = spark.range(1000).select(
+        F.concat(F.lit("p/"), (F.col("id") % 7).cast("string"), F.lit("/:x")).alias("file"), (-F.col("id")).alias("n"),
+        F.when(F.col("id") % 10 > 0, F.concat(F.lit("ü"), F.col("id").cast("string"))).alias("text"),
+    ).repartition(5)
+    for _ in range(2):  # the second time replaces the files
+        write_named_files(rows, str(tmp_path / "f"), "file", "text", ["n"], separator)
+    want = {}
+    for i in reversed(range(1000)):
+        want.setdefault(f"p/{i % 7}/:x", []).append((f"ü{i}" if i % 10 else "") + separator)
+    root = tmp_path / "f"
+    got = {str(p.relative_to(root)): p.read_text() for p in root.rglob("*") if p.is_file()}
+    assert got == {name: "".join(parts) for name, parts in want.items()}
+
+
+def test_named_files_of_a_broken_write_are_not_seen(spark, tmp_path):
+    rows = spark.range(100).select(F.lit("a").alias("file"), F.when(F.col("id") == 99, F.raise_error(F.lit("broken off"))).otherwise("x").alias("text"))
+    with pytest.raises(Exception, match="broken off"):
+        write_named_files(rows.repartition(4), str(tmp_path / "f"), "file", "text")
+    assert [p for p in (tmp_path / "f").rglob("*") if p.is_file()] == []
+
+
 def test_scratch_is_below_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert shared_root(spark) == root
