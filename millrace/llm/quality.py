@@ -46,27 +46,52 @@ PARTS = 1_000_000_000
 STEPS = 10_000
 
 
-def _length_without(text: Column, pattern: str) -> Column:
-    return F.length(F.regexp_replace(text, pattern, ""))
-
-
-def _windows(found: Column) -> Column:
-    """``hash, at`` of each three words in a row, sorted."""
-    return F.when(
-        F.size(found) >= 3,
-        F.sort_array(
-            F.transform(
-                F.sequence(F.lit(0), F.size(found) - 3),
-                lambda i: F.struct(
-                    F.xxhash64(F.get(found, i), F.get(found, i + 1), F.get(found, i + 2)).alias("hash"), i.alias("at")
-                ),
-            )
-        ),
-    ).otherwise(F.expr("array()").cast("array<struct<hash:bigint,at:int>>"))
+def _window_hashes(rows: DataFrame) -> DataFrame:
+    """``rows`` (with ``found``) and ``n_words``, ``hashes`` of each three words in a row, ``n_again``,
+    how many of them are there already before."""
+    rows = rows.withColumn("hashed", F.transform("found", lambda w: F.xxhash64(w)))
+    starts = F.slice("hashed", F.lit(1), F.greatest(F.size("hashed") - 2, F.lit(0)))
+    hashes = F.transform(starts, lambda h, i: F.xxhash64(h, F.get("hashed", i + 1), F.get("hashed", i + 2)))
+    rows = rows.withColumns({"hashes": hashes, "n_words": F.size("found").cast("long")}).drop("hashed")
+    return rows.withColumn("n_again", (F.size("hashes") - F.size(F.array_distinct("hashes"))).cast("long"))
+
+
+def _repeat_words(where: Column) -> Column:
+    """How many words are in windows found twice or more, worked out ``where`` that is asked for, else 0.
+
+    The hashes alone are sorted first.  Each that has its like next to it sets one of 64
+    bits, and only windows whose bit is set are sorted again with their places.
+    """
+    one = F.lit(1).cast("long")
+
+    def bit(h: Column) -> Column:
+        return h.bitwiseAND(F.lit(63)).cast("int")
+
+    def bits(hashes: Column) -> Column:
+        again = F.filter(hashes, lambda h, i: F.get(hashes, i + 1) == h)
+        return F.aggregate(again, F.lit(0).cast("long"), lambda all_, h: all_.bitwiseOR(
+            F.call_function("shiftleft", one, bit(h))))
+
+    def suspects(mask: Column) -> Column:
+        placed = F.transform("hashes", lambda h, i: F.when(
+            F.call_function("shiftrightunsigned", mask, bit(h)).bitwiseAND(one) == 1,
+            F.struct(h.alias("hash"), i.alias("at"))))
+        return F.sort_array(F.filter(placed, lambda w: w.isNotNull()))
+
+    def like_a_neighbour(windows: Column) -> Column:
+        return F.filter(
+            F.transform(windows, lambda w, i: F.when(
+                (F.get(windows, i + 1)["hash"] == w["hash"]) | (F.get(windows, i - 1)["hash"] == w["hash"]), w["at"])),
+            lambda at: at.isNotNull(),
+        )
+
+    repeated = _let(_let(_let(F.sort_array("hashes"), bits), suspects), like_a_neighbour)
+    covered = F.array_distinct(F.flatten(F.transform(repeated, lambda at: F.array(at, at + 1, at + 2))))
+    return F.when(where, F.size(covered)).otherwise(0).cast("long")
 
 
 def base_counts(docs: DataFrame, text_col: str, carry: Sequence[str]) -> DataFrame:
-    """The columns ``carry`` in ``row``, with ``text``, ``found`` (its words) and the base counts.
+    """The columns ``carry`` in ``row``, with ``found`` (the words), ``chars`` and the base counts.
 
     A window of three words is told by a 64-bit hash of the three.
     """
@@ -74,66 +99,55 @@ def base_counts(docs: DataFrame, text_col: str, carry: Sequence[str]) -> DataFra
     text = text_or_empty(text_col)
     rows = docs.select(row, text.alias("text"), words(F.col(text_col)).alias("found"))
     lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    rows = _with_repeats(rows.withColumn("lines", lines))
+    rows = _char_shares(_window_hashes(rows.withColumn("lines", lines)))
     rows = rows.select(
-        "row", "text", "found", "n_words",
-        F.length(F.array_join("found", "")).cast("long").alias("word_chars"),
-        (F.length("text") - _length_without(F.col("text"), SYMBOLS)).cast("long").alias("n_symbols"),
+        "row", "found", "n_words", "word_chars", "n_symbols", "n_chars", "chars",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        "n_repeat_words",
+        _repeat_words(F.col("n_again") > 0).alias("n_repeat_words"),
     )
     return rows.withColumn("base_failed", _base_failed())
 
 
-def _with_repeats(rows: DataFrame) -> DataFrame:
-    """``rows`` (with ``found``) and ``n_words, n_repeat_words``."""
-    rows = rows.withColumn("windows", _windows(F.col("found")))
-    repeated = F.filter(
-        F.transform(
-            "windows",
-            lambda w, i: F.when(
-                (F.get("windows", i + 1)["hash"] == w["hash"]) | (F.get("windows", i - 1)["hash"] == w["hash"]),
-                w["at"],
-            ),
-        ),
-        lambda at: at.isNotNull(),
-    )
-    in_repeated = F.array_distinct(F.flatten(F.transform(repeated, lambda at: F.array(at, at + 1, at + 2))))
-    return rows.withColumns({
-        "n_words": F.size("found").cast("long"), "n_repeat_words": F.size(in_repeated).cast("long"),
-    }).drop("windows")
-
-
 def _base_failed() -> Column:
     return (F.col("n_words") < BASE_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
 def _char_shares(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``chars``: ``kind, bin, share`` of each class of characters."""
+    """``rows`` (with ``text`` and ``found``) with ``chars``: ``kind, bin, share`` of each class of
+    characters; and ``n_chars``, ``word_chars``, ``n_symbols``."""
     length = F.length("text")
-    # Class after class is taken out, so that each pattern sees only what is left.
-    left, sizes = F.col("text"), []
-    rest = rows
+    # What is not in words is space.  Class after class is taken out of the words put
+    # together, so that each pattern meets few and long stretches of only what is left.
+    rest = rows.withColumn("left", F.array_join("found", "")).withColumn("word_chars", F.length("left").cast("long"))
+    sizes = {"space": length - F.col("word_chars")}
+    left = F.col("left")
     for n, (name, pattern) in enumerate(CHAR_CLASSES.items()):
+        if name == "space":
+            continue
+        if name == "other_ascii":
+            # All symbols are in this class; none was taken out before.
+            without = F.regexp_replace(left, SYMBOLS, "")
+            rest = rest.withColumn("n_symbols", (F.length(left) - F.length(without)).cast("long"))
         rest = rest.withColumn(f"left{n}", F.regexp_replace(left, pattern, ""))
-        sizes.append((name, F.length(left) - F.length(f"left{n}")))
+        sizes[name] = F.length(left) - F.length(f"left{n}")
         left = F.col(f"left{n}")
-    sizes.append(("other", F.length(left)))
+    sizes["other"] = F.length(left)
     chars = F.array(*[
         F.struct(F.lit("char").alias("kind"), F.lit(name).alias("bin"), F.try_divide(size, length).alias("share"))
-        for name, size in sizes
+        for name, size in sizes.items()
     ])
-    rest = rest.withColumn("chars", F.filter(chars, lambda b: b["share"].isNotNull()))
-    return rest.drop(*[f"left{n}" for n in range(len(CHAR_CLASSES))])
+    nothing = F.slice(chars, F.lit(1), F.lit(0))
+    rest = rest.withColumns({"chars": F.when(length > 0, chars).otherwise(nothing), "n_chars": length})
+    return rest.drop("left", *[f"left{n}" for n in range(len(CHAR_CLASSES))])
 
 
 def histograms(rows: DataFrame, listed: Sequence[str]) -> DataFrame:
-    """``rows`` with ``bins``: for each kind (char, word) and bin its share of the kind.
+    """``rows`` (of ``base_counts``) with ``bins``: for each kind (char, word) and bin its share of the kind.
 
     The word bins are the ``listed`` words, of all languages, and all others together.
     """
     common = F.transform(F.filter("found", lambda w: F.lower(w).isin(list(listed))), F.lower)
-    rest = _char_shares(rows).withColumn("common", F.sort_array(common))
+    rest = rows.withColumn("common", F.sort_array(common))
     size = F.size("common")
     starts = F.filter(
         F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.expr("array()").cast("array<int>")),
@@ -181,7 +195,10 @@ def _sums(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     distinct = exact_dedup.drop_copies(pairs, "lang", "pair")
     start = F.length("lang") + F.length(F.length("lang").cast("string")) + 2
     rows = distinct.select("lang", F.substr("pair", start).alias("text"))
-    rows = _with_repeats(rows.withColumn("found", words(F.col("text"))))
+    rows = _window_hashes(rows.withColumn("found", words(F.col("text"))))
+    # A window that is there again puts up to three words, and those of the first such one, into
+    # the count; so only where there are many can a rule fail.
+    rows = rows.withColumn("n_repeat_words", _repeat_words(100 * 6 * F.col("n_again") > 50 * F.col("n_words")))
     # The row number keeps the filter where it is: pushed down, it would work out
     # every column that it rests on again, once for each mention.
     numbered = rows.withColumns({"failed": _base_failed(), "at": F.monotonically_increasing_id()})
@@ -322,8 +339,7 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
 
 def _measured(docs: DataFrame, text_col: str, carry: Sequence[str], found: References) -> DataFrame:
-    rows = histograms(base_counts(docs, text_col, carry), found.listed)
-    return rows.withColumn("n_chars", F.length("text")).drop("text", "found")
+    return histograms(base_counts(docs, text_col, carry), found.listed).drop("found")
 
 
 def _verdicts(rows: DataFrame, found: References, lang: Column) -> DataFrame:
