@@ -180,9 +180,10 @@ def key_by_field(spark, sf_dir):
 
 @query
 def group_by_key(spark, sf_dir):
-    groups = grouping.group_by_key(_all_finance(spark, sf_dir), ACCOUNT, ["FinanceKey", "Amount"])
+    """Every key in parts of four records."""
+    groups = grouping.group_by_key(_all_finance(spark, sf_dir), ACCOUNT, ["FinanceKey", "Amount"], max_group_rows=4)
     return groups.select(
-        "key",
+        "key", "part", "n_parts",
         F.size("records").cast("bigint").alias("n"),
         _joined(F.col("records")["FinanceKey"]).alias("finance_keys"),
         _joined(F.col("records")["Amount"]).alias("amounts"),
@@ -191,9 +192,9 @@ def group_by_key(spark, sf_dir):
 
 @query
 def group_by_key_hot(spark, sf_dir):
-    """Three keys for all rows, each cut into parts and added up again."""
+    """Three keys for all rows, each cut into slices and parts, and added up again."""
     groups = grouping.group_by_key(
-        _all_finance(spark, sf_dir), "DepartmentGroupName", ["FinanceKey"], max_group_rows=2000
+        _all_finance(spark, sf_dir), "DepartmentGroupName", ["FinanceKey"], max_group_rows=2000, slice_bytes=1 << 16
     )
     records = groups.select("key", F.explode("records").alias("record"))
     return records.groupBy("key").agg(
@@ -203,10 +204,11 @@ def group_by_key_hot(spark, sf_dir):
 
 @query
 def cogroup(spark, sf_dir):
-    groups = grouping.cogroup(*_finance(spark, sf_dir), ACCOUNT, ["Amount"])
+    """Every key in parts of three records, those of the left first."""
+    groups = grouping.cogroup(*_finance(spark, sf_dir), ACCOUNT, ["Amount"], max_group_rows=3)
     left, right = F.col("p1")["Amount"], F.col("p2")["Amount"]
     return groups.select(
-        "key",
+        "key", "part", "n_parts",
         F.size("p1").cast("bigint").alias("n1"),
         F.size("p2").cast("bigint").alias("n2"),
         _joined(left).alias("amounts1"),
@@ -218,7 +220,7 @@ def cogroup(spark, sf_dir):
 def cogroup_hot(spark, sf_dir):
     """Two keys for all rows, cut into parts on either side."""
     groups = grouping.cogroup(
-        *_finance(spark, sf_dir), "ScenarioName", ["FinanceKey"], max_group_rows=2000
+        *_finance(spark, sf_dir), "ScenarioName", ["FinanceKey"], max_group_rows=2000, slice_bytes=1 << 16
     )
     sides = [
         groups.select("key", F.lit(n).alias("side"), F.explode(p).alias("record"))
@@ -231,8 +233,8 @@ def cogroup_hot(spark, sf_dir):
 
 @query
 def format_cogroup(spark, sf_dir):
-    groups = grouping.cogroup(*_finance(spark, sf_dir), ACCOUNT, ["Amount"])
-    return grouping.format_cogroup(groups, "Amount", ordered=True).select("key", "block")
+    groups = grouping.cogroup(*_finance(spark, sf_dir), ACCOUNT, ["Amount"], max_group_rows=3)
+    return grouping.format_cogroup(groups, "Amount", ordered=True).select("key", "part", "n_parts", "block")
 
 
 @query

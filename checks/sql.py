@@ -283,6 +283,14 @@ FROM told
 """
 
 
+def in_parts(size: int, order: str) -> str:
+    """Finance rows with the part of their account that they are in."""
+    return f"""
+SELECT *, CAST((row_number() OVER (PARTITION BY AccountDescription ORDER BY {order}) - 1) // {size} AS INTEGER) AS part,
+  CAST((count(*) OVER (PARTITION BY AccountDescription) + {size - 1}) // {size} AS INTEGER) AS n_parts
+FROM ({FINANCE})"""
+
+
 SQL = {
     "scan_text_lines": "SELECT unnest(string_split(text, chr(10))) AS value FROM documents",
     "sink_text": f"SELECT word FROM ({WORDS})",
@@ -306,26 +314,26 @@ SQL = {
     "scan_finance_csv": f"SELECT * EXCLUDE (side) FROM ({FINANCE})",
     "key_by_field": f"SELECT * EXCLUDE (side), AccountDescription AS key FROM ({FINANCE})",
     "group_by_key": f"""
-SELECT AccountDescription AS key, count(*) AS n,
+SELECT AccountDescription AS key, part, n_parts, count(*) AS n,
   string_agg(CAST(FinanceKey AS VARCHAR), ',' ORDER BY FinanceKey) AS finance_keys,
   string_agg(CAST(Amount AS VARCHAR), ',' ORDER BY Amount) AS amounts
-FROM ({FINANCE}) GROUP BY 1""",
+FROM ({in_parts(4, "FinanceKey, Amount")}) GROUP BY 1, 2, 3""",
     "group_by_key_hot": f"""
 SELECT DepartmentGroupName AS key, count(*) AS n, CAST(sum(FinanceKey) AS BIGINT) AS sum_keys
 FROM ({FINANCE}) GROUP BY 1""",
     "cogroup": f"""
-SELECT AccountDescription AS key,
+SELECT AccountDescription AS key, part, n_parts,
   count(*) FILTER (side = 1) AS n1, count(*) FILTER (side = 2) AS n2,
   coalesce(string_agg(CAST(Amount AS VARCHAR), ',' ORDER BY Amount) FILTER (side = 1), '') AS amounts1,
   coalesce(string_agg(CAST(Amount AS VARCHAR), ',' ORDER BY Amount) FILTER (side = 2), '') AS amounts2
-FROM ({FINANCE}) GROUP BY 1""",
+FROM ({in_parts(3, "side, Amount")}) GROUP BY 1, 2, 3""",
     "cogroup_hot": f"""
 SELECT ScenarioName AS key, side, count(*) AS n, CAST(sum(FinanceKey) AS BIGINT) AS sum_keys
 FROM ({FINANCE}) GROUP BY 1, 2""",
     "format_cogroup": f"""
-SELECT AccountDescription AS key, AccountDescription ||
-  string_agg(chr(10) || chr(9) || CAST(Amount AS VARCHAR), '' ORDER BY side, Amount) AS block
-FROM ({FINANCE}) GROUP BY 1""",
+SELECT AccountDescription AS key, part, n_parts, CASE WHEN part = 0 THEN AccountDescription || chr(10) ELSE '' END ||
+  string_agg(chr(9) || CAST(Amount AS VARCHAR), chr(10) ORDER BY side, Amount) AS block
+FROM ({in_parts(3, "side, Amount")}) GROUP BY 1, 2, 3""",
     "cogroup_lines": f"""
 WITH finance AS ({FINANCE})
 SELECT DISTINCT AccountDescription AS key, 0 AS side, AccountDescription AS line FROM finance

@@ -80,10 +80,12 @@ def _copies(spark, n):
     return hot.unionByName(spark.createDataFrame([("a", 2.0), ("b", 3.0), (None, 4.0)], "key string, v double"))
 
 
+@pytest.mark.parametrize("slice_bytes", [1, 1000, 1 << 26])
 @pytest.mark.parametrize("limit", [1, 10, 500, 10**6])
-def test_one_shape_at_every_size(spark, limit):
+def test_one_shape_at_every_size(spark, limit, slice_bytes):
     rows = _copies(spark, 5000).unionByName(spark.range(300).selectExpr("'hot' AS key", "cast(id AS double) AS v"))
-    groups = grouping.group_by_key(rows, "key", ["v"], max_group_rows=limit).collect()
+    groups = grouping.group_by_key(rows, "key", ["v"], max_group_rows=limit, slice_bytes=slice_bytes).collect()
+    limit = min(limit, max(1, slice_bytes // 16))
     by_key = {}
     for r in groups:
         by_key.setdefault(r["key"], []).append(r)
@@ -95,10 +97,11 @@ def test_one_shape_at_every_size(spark, limit):
     assert got == {"hot": sorted([1.0] * 5000 + [float(n) for n in range(300)]), "a": [2.0], "b": [3.0], None: [4.0]}
 
 
+@pytest.mark.parametrize("slice_bytes", [100, 1 << 26])
 @pytest.mark.parametrize("limit", [1, 7, 10**6])
-def test_cogroup_has_its_left_side_first_over_all_parts(spark, limit):
+def test_cogroup_has_its_left_side_first_over_all_parts(spark, limit, slice_bytes):
     left, right = _copies(spark, 40), _copies(spark, 25).where("key = 'hot' OR key IS NULL")
-    groups = grouping.cogroup(left, right, "key", ["v"], max_group_rows=limit)
+    groups = grouping.cogroup(left, right, "key", ["v"], max_group_rows=limit, slice_bytes=slice_bytes)
     blocks = grouping.format_cogroup(groups, "v", ordered=True).orderBy("key", "part").collect()
     text = {}
     for r in blocks:
@@ -110,6 +113,24 @@ def test_cogroup_has_its_left_side_first_over_all_parts(spark, limit):
     assert sum(a for a, _ in sides) == 40 and sides == sorted(sides, key=lambda s: (s[0] == 0, s[1] > 0))
 
 
+def test_a_hot_key_is_spread_by_its_size(spark):
+    """A third of all rows under one key: no slice of it is much larger than others."""
+    hot = spark.range(30_000).selectExpr("'hot' AS key", "cast(id AS string) AS v")
+    rest = spark.range(60_000).selectExpr("cast(id % 6000 AS string) AS key", "cast(id AS string) AS v")
+    groups = grouping.group_by_key(hot.unionByName(rest), "key", ["v"], max_group_rows=10**6, slice_bytes=20_000)
+    sizes = [len(r["records"]) for r in groups.where("key = 'hot'").collect()]
+    assert sum(sizes) == 30_000 and max(sizes) <= 20_000 / 16 and len(sizes) > 20
+    small = groups.where("key <> 'hot'")
+    assert small.count() == 6000 and small.where("n_parts <> 1 OR size(records) <> 10").isEmpty()
+
+
+def test_parts_are_bounded_in_bytes(spark):
+    rows = spark.range(200).select(F.lit("k").alias("key"), F.concat(F.repeat(F.lit("x"), 1000), F.col("id").cast("string")).alias("v"))
+    parts = grouping.group_by_key(rows, "key", ["v"], slice_bytes=20_000).collect()
+    assert max(len(r["records"]) for r in parts) <= 19 and sum(len(r["records"]) for r in parts) == 200
+    assert sorted(r["part"] for r in parts) == list(range(parts[0]["n_parts"]))
+
+
 @pytest.mark.parametrize("ordered", [False, True])
 def test_lines_read_as_one_block_for_each_key(spark, tmp_path, ordered):
     for path, lines in (("p1", PART1 + [f"{n},d,o,g,s,Hot,1.0" for n in range(60)]),
