@@ -16,6 +16,7 @@ from checks.inputs import (
     json_messages,
     lines,
     ntz,
+    stream_rounds,
     table,
 )
 from checks.replay import replay
@@ -38,6 +39,7 @@ from millrace.plans import account_blocks, fixed_tables, pane_files, window_tabl
 from millrace.session import scratch_path
 from millrace.sinks import files
 from millrace.sinks.commits import appended
+from millrace.sources import message_log
 from millrace.sources.layout import spread_small
 from millrace.sources.schema import load_schema, schema_from_json
 from millrace.sources.text import ACCOUNT, parse_finance_lines, scan_finance_lines, scan_text, scan_values
@@ -605,6 +607,29 @@ def stream_source(spark, sf_dir):
     return read.select("event_id", ntz(F.col("event_ts")).alias("event_ts"), "payload")
 
 
+@query
+def stream_source_log(spark, sf_dir):
+    """The messages in a log of eight partitions, their times in an attribute; the log grows
+    while the stream, which takes a third of a round at a time, is started again and again."""
+    root, target, checkpoint = (scratch_path(spark, n) for n in ("log", "target", "checkpoint"))
+    ends: dict[str, int] = {}
+    for sent in stream_rounds(spark, sf_dir, late=True):
+        logged = sent.where(F.col("event_id") >= 0).select(
+            F.pmod(F.xxhash64("event_id"), F.lit(8)).alias("partition"), F.col("payload").alias("data"),
+            F.create_map(F.lit("timestamp_ms"), "timestamp_ms", F.lit("id"), F.col("event_id").cast("string")).alias("attributes"),
+        )
+        before = sum(ends.values())
+        ends = message_log.append_log(logged, root, "partition", ends)
+        limit = -(-(sum(ends.values()) - before) // 3) + 8
+        for _ in range(3):
+            read = message_log.log_messages(spark, root, "timestamp_ms", limit, f"{target}-position", keep=("attributes",))
+            read.writeStream.format("parquet").option("path", target).option(
+                "checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(target).select(
+        F.col("attributes")["id"].cast("bigint").alias("event_id"), ntz(F.col("event_ts")).alias("event_ts"), "payload"
+    )
+
+
 DAY_MS = 86_400_000
 NEVER_MS = 10**15
 

@@ -438,3 +438,4 @@ _PAYLOAD = f"""'{{"FinanceKey":' || event_id || ',"DateKey":"' || strftime(ts, '
   ',"Extra":"x"}}'"""
 SQL["stream_source"] = (f"SELECT event_id, date_trunc('milliseconds', ts) AS event_ts, "
                         f"{_PAYLOAD} AS payload FROM events")
+SQL["stream_source_log"] = SQL["stream_source"]
