@@ -279,17 +279,12 @@ def _distance(met: Column, language: int) -> Column:
 
     A bin which only the reference has adds half its share.
     """
-    def term(sums: Column, b: Column) -> Column:
+    def term(total: Column, b: Column) -> Column:
         p, q = b["share"], b["theirs"][language]
         q_term = F.when(q > 0, q * F.log2(2 * q / (p + q))).otherwise(F.lit(0.0))
-        return F.struct(
-            (sums["d"] + p * F.log2(2 * p / (p + q)) + q_term).alias("d"), (sums["q"] + q).alias("q")
-        )
+        return total + p * F.log2(2 * p / (p + q)) + q_term - q
 
-    return F.aggregate(
-        met, F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("q")), term,
-        lambda sums: F.sqrt(F.greatest(F.lit(0.0), (sums["d"] + 1 - sums["q"]) / 2)),
-    )
+    return F.aggregate(met, F.lit(1.0), term, lambda total: F.sqrt(F.greatest(F.lit(0.0), total / 2)))
 
 
 def _bare_value(q: float) -> float:
