@@ -47,11 +47,11 @@ STEPS = 10_000
 
 
 def _window_hashes(rows: DataFrame) -> DataFrame:
-    """``rows`` (with ``found``) and ``n_words``, ``hashes`` of each three words in a row, ``n_again``,
+    """``rows`` (with ``found``) and ``n_words``, ``hashes`` of the three words from each on, ``n_again``,
     how many of them are there already before."""
     rows = rows.withColumn("hashed", F.transform("found", lambda w: F.xxhash64(w)))
-    starts = F.slice("hashed", F.lit(1), F.greatest(F.size("hashed") - 2, F.lit(0)))
-    hashes = F.transform(starts, lambda h, i: F.xxhash64(h, F.get("hashed", i + 1), F.get("hashed", i + 2)))
+    # The last two are of fewer words, so they are like no other.
+    hashes = F.transform("hashed", lambda h, i: F.xxhash64(h, F.get("hashed", i + 1), F.get("hashed", i + 2)))
     rows = rows.withColumns({"hashes": hashes, "n_words": F.size("found").cast("long")}).drop("hashed")
     return rows.withColumn("n_again", (F.size("hashes") - F.size(F.array_distinct("hashes"))).cast("long"))
 
@@ -146,7 +146,10 @@ def histograms(rows: DataFrame, listed: Sequence[str]) -> DataFrame:
 
     The word bins are the ``listed`` words, of all languages, and all others together.
     """
-    common = F.transform(F.filter("found", lambda w: F.lower(w).isin(list(listed))), F.lower)
+    longest = max(map(len, listed), default=0) + 1  # lower case may be a character longer, or shorter
+    common = F.transform(
+        F.filter("found", lambda w: (F.length(w) <= longest) & F.lower(w).isin(list(listed))), F.lower
+    )
     rest = rows.withColumn("common", F.sort_array(common))
     size = F.size("common")
     starts = F.filter(
@@ -260,18 +263,19 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     for n, name in enumerate(languages):
         total = sum(of_chars[name].values()) or 1
         for c, step in of_chars[name].items():
-            put(f"char:{c}", n, step / total)
+            put(f"{c}:char", n, step / total)
         others = max(0.0, 1 - sum(of_words[name].values()))
         if _bare_value(others) >= LEAST_BARE:
             worded.append(name)
             for w, value in of_words[name].items():
-                put(f"word:{w}", n, value)
-            put("word:", n, others)
+                put(f"{w}:word", n, value)
+            put(":word", n, others)
     return References(languages, worded, listed, shares)
 
 
 def _bin(kind: Column, name: Column) -> Column:
-    return F.concat(kind, F.lit(":"), name)
+    # The name first, since keys are compared one by one from their first letter.
+    return F.concat(name, F.lit(":"), kind)
 
 
 def _distance(met: Column, language: int) -> Column:
@@ -367,7 +371,7 @@ def _verdicts(rows: DataFrame, found: References, lang: Column) -> DataFrame:
         return F.struct(
             F.transform("met", lambda b: F.struct(
                 b["kind"].alias("kind"), b["share"].alias("share"), also(b["theirs"]).alias("theirs"))).alias("met"),
-            F.transform(also(theirs(F.lit("word:"))), _bare).alias("bare"),
+            F.transform(also(theirs(F.lit(":word"))), _bare).alias("bare"),
         )
 
     rows = rows.withColumn("mixed", F.when(F.col("met").isNotNull(), _let(weights, mixed)))
