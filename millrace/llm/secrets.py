@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -78,9 +79,24 @@ def _random_spans(run: str, own) -> list[tuple[int, int]]:
     return spans
 
 
+def _free(runs: Iterable[tuple[int, int]], base: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What sorted spans ``base`` leave of sorted ``runs``, in one pass over both."""
+    n, covered = 0, 0
+    for start, end in runs:
+        at = max(start, covered)
+        while n < len(base) and base[n][0] < end:
+            if base[n][0] > at:
+                yield at, base[n][0]
+            covered = max(covered, base[n][1])
+            at = max(at, covered)
+            n += 1
+        if at < end:
+            yield at, end
+
+
 def find(text: str, own) -> list[tuple[int, int, int]]:
     """``(start, number of the kind, end)``, sorted.  Base kinds overlap freely; a random
-    string is only added where no base span lies."""
+    string is only added where no base span lies, and may stand next to one."""
     spans = []
     folded = text.lower()
     if any(word in folded for word in ("passw", "secret", "token", "api")):
@@ -88,10 +104,10 @@ def find(text: str, own) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         spans += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= ACCESS_CHARS]
     spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    base = sorted(spans)
-    for m in RUN.finditer(text):
-        if all(end <= m.start() or start >= m.end() for start, _, end in base):
-            spans += [(m.start() + a, 3, m.start() + b) for a, b in _random_spans(m[0], own)]
+    base = sorted((start, end) for start, _, end in spans)
+    for start, end in _free((m.span() for m in RUN.finditer(text)), base):
+        if end - start >= RUN_CHARS:
+            spans += [(start + a, 3, start + b) for a, b in _random_spans(text[start:end], own)]
     return sorted(spans)
 
 
@@ -99,7 +115,8 @@ def secrets(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", tex
     """``doc_id`` and ``spans``, an array of ``start, kind, end`` in code points, end exclusive.
 
     Sorted by start, then by kind as listed.  One row per row; a null text is
-    empty; an empty table gives no rows; other columns are not read.
+    empty; an empty table gives no rows; other columns are not read.  A text is read
+    as a whole, in time that grows with its length.
     """
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
     span = pa.struct([("start", pa.int64()), ("kind", pa.string()), ("end", pa.int64())])

@@ -1,8 +1,10 @@
 import hashlib
+import random
 import re
+import time
 
 from llm_cases import ODD, SF_DIR, documents
-from millrace.llm import queries, secrets
+from millrace.llm import queries, secrets, tokens
 
 
 def brute(text):
@@ -55,6 +57,42 @@ def test_random_strings_are_added_and_digests_are_not(spark):
     assert random[34] == [(4, 4 + len(RANDOM))] and random[37] == [] and random[33] == []
 
 
+def _encoding():
+    return tokens.encoding(queries.vocabulary())
+
+
+def test_random_strings_next_to_base_spans():
+    hex_, random_ = "0123456789abcdef0123456789ab", "kX9vQ2pLr8ZtW4mYb7Hc"
+    for text in (f"/{hex_}/{random_}", f"{random_}/{hex_}", f"{hex_}/{random_}/{hex_}/{random_}"):
+        spans = secrets.find(text, _encoding())
+        assert [text[a:b].strip("/") for a, k, b in spans if k == 3] == [random_] * text.count(random_)
+        assert [text[a:b] for a, k, b in spans if k == 2] == [hex_] * text.count(hex_)
+
+
+def test_what_spans_leave_of_runs():
+    draw = random.Random(5)
+    for _ in range(300):
+        cuts = sorted(draw.sample(range(60), 8))
+        runs = list(zip(cuts[::2], cuts[1::2]))
+        base = sorted((a, a + draw.randrange(1, 12)) for a in draw.choices(range(60), k=draw.randrange(6)))
+        left = [n for a, b in secrets._free(runs, base) for n in range(a, b)]
+        want = [n for a, b in runs for n in range(a, b) if not any(x <= n < y for x, y in base)]
+        assert left == want
+
+
+def test_time_grows_with_the_length_only():
+    def seconds(n):
+        text = " ".join("0123456789abcdef0123456789" for _ in range(n))
+        own, best = _encoding(), 9e9
+        for _ in range(3):
+            begun = time.perf_counter()
+            assert len(secrets.find(text, own)) == n
+            best = min(best, time.perf_counter() - begun)
+        return best
+
+    assert seconds(40_000) < 4 * 10 * seconds(4_000)
+
+
 def test_empty_table(spark):
     assert secrets.secrets(documents(spark, []), queries.vocabulary()).collect() == []
 
