@@ -37,7 +37,8 @@ _TOKEN = re.compile(
     r"""|<(/?)([A-Za-z][^\s/>]*)((?>(?:[^>"']|"[^"<]*"|'[^'<]*')*)|[^>]*)>""", re.S
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
-_HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_HIDING = re.compile(r"display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(visible|hidden|collapse)", re.I)
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -119,6 +120,19 @@ def hidden(node: Node) -> bool:
     )
 
 
+def visible(node: Node, above: bool) -> bool:
+    """Whether text of a node is shown: as its own style says, else as that of the node above."""
+    said = _VISIBILITY.findall(node.attributes.get("style", ""))
+    return said[-1].lower() == "visible" if said else above
+
+
+def shown_children(node: Node) -> list:
+    """Of details that are not open the first summary."""
+    if node.tag != "details" or "open" in node.attributes:
+        return node.children
+    return [c for c in node.children if not isinstance(c, str) and c.tag == "summary"][:1]
+
+
 class Page:
     """Lines under way.  ``break_`` asks for a new line, or a blank one, before the next text."""
 
@@ -185,49 +199,86 @@ class Page:
         return self.lines
 
 
-def _aligned(rows: list[list[tuple[list[str], int]]]) -> list[str]:
-    """Rows of cells (lines, columns spanned), every column as wide as its widest cell."""
+@dataclass
+class Cell:
+    lines: list[str]
+    columns: int
+    rows: int
+    at: int = 0  # the column it begins in
+
+
+#: A column is no wider than this, and no cell stands further from the one before it; longer
+#: text runs on.  So a table of much white space stays in proportion to its page.
+WIDEST_COLUMN, WIDEST_GAP = 80, 240
+#: More columns or rows are not spanned.
+MOST_SPANNED = 1000
+
+
+def _place(rows: list[list[Cell]]) -> None:
+    """Tells each cell the first column that no cell, nor one of a row above, has taken."""
+    taken: list[tuple[int, int, int]] = []  # from, to, up to which row
+    for n, row in enumerate(rows):
+        taken = sorted(t for t in taken if t[2] > n)
+        column, k, new = 0, 0, []
+        for cell in row:
+            while k < len(taken) and taken[k][0] < column + cell.columns:
+                column, k = max(column, taken[k][1]), k + 1
+            cell.at = column
+            column += cell.columns
+            if cell.rows > 1:
+                new.append((cell.at, column, n + cell.rows))
+        taken += new
+
+
+def _aligned(rows: list[list[Cell]]) -> list[str]:
+    """The lines of a table: what is in one column begins at one place, where cells are not too wide."""
+    _place(rows)
     widths: dict[int, int] = {}
-    for row in rows:
-        column = 0
-        for lines, span in row:
-            if span == 1:
-                widths[column] = max(widths.get(column, 0), *[len(x) for x in lines], 0)
-            column += span
+    for cell in (c for row in rows for c in row if c.columns == 1):
+        widths[cell.at] = max([widths.get(cell.at, 0), *map(len, cell.lines)])
+    starts, offset = {}, 0
+    for column in sorted({c.at for row in rows for c in row} | set(widths)):
+        starts[column] = offset
+        if column in widths:
+            offset += min(widths[column], WIDEST_COLUMN) + 2
     out = []
     for row in rows:
-        for n in range(max((len(lines) for lines, _ in row), default=0)):
-            parts, column = [], 0
-            for lines, span in row:
-                width = sum(widths.get(c, 0) for c in range(column, column + span)) + 2 * (span - 1)
-                parts.append((lines[n] if n < len(lines) else "").ljust(width))
-                column += span
-            out.append("  ".join(parts).rstrip())
+        for n in range(max((len(c.lines) for c in row), default=0)):
+            parts, length = [], 0
+            for cell in row:
+                if n < len(cell.lines) and cell.lines[n]:
+                    gap = min(max(starts[cell.at] - length, 2 if length else 0), WIDEST_GAP)
+                    parts.append(" " * gap + cell.lines[n])
+                    length += len(parts[-1])
+            out.append("".join(parts).rstrip())
     return out
 
 
-def _span(node: Node) -> int:
-    value = node.attributes.get("colspan", "1").strip()
-    return min(max(int(value), 1), 1000) if value.isascii() and value.isdigit() else 1
+def _span(node: Node, name: str) -> int:
+    value = node.attributes.get(name, "1").strip()
+    return min(max(int(value[:9]), 1), MOST_SPANNED) if value.isascii() and value.isdigit() else 1
 
 
 def render(html: str) -> str:
     """All visible text.  Nodes are walked without recursion, so depth has no limit."""
-    pages, tables, lists, as_is = [Page()], [], [], 0
+    pages, tables, lists, as_is, seen = [Page()], [], [], 0, [True]
     todo: list = [(tree(html), False)]
     while todo:
         node, leaving = todo.pop()
         page = pages[-1]
         if isinstance(node, str):
-            page.text(node, as_is > 0)
+            if seen[-1]:
+                page.text(node, as_is > 0)
             continue
         tag = node.tag
         if not leaving:
             if hidden(node):
                 continue
             if tag == "br":
-                page.new_line()
+                if seen[-1]:
+                    page.new_line()
                 continue
+            seen.append(visible(node, seen[-1]))
             if tag in BLOCKS:
                 nested = tag in LISTS and lists
                 page.break_(tag in SPACED_BLOCKS and not nested)
@@ -236,10 +287,11 @@ def render(html: str) -> str:
                 lists.append([tag, int(start) if start.isascii() and start.isdigit() else 1])
             elif tag == "li":
                 kind = lists[-1] if lists else ["ul", 1]
-                page.mark = f"{kind[1]}. " if kind[0] == "ol" else "- "
+                mark = f"{kind[1]}. " if kind[0] == "ol" else "- "
+                page.mark = mark if seen[-1] else ""
                 kind[1] += 1
-                page.indent += " " * len(page.mark)
-                node.attributes["-"] = str(len(page.mark))
+                page.indent += " " * len(mark)
+                node.attributes["-"] = str(len(mark))
             elif tag in ("dd", "blockquote"):
                 page.indent += "  "
             elif tag == "pre":
@@ -251,13 +303,14 @@ def render(html: str) -> str:
             elif tag in ("td", "th") and tables:
                 pages.append(Page())
             todo.append((node, True))
-            todo.extend((child, False) for child in reversed(node.children))
+            todo.extend((child, False) for child in reversed(shown_children(node)))
             continue
+        seen.pop()
         if tag in ("td", "th") and tables:
             cell = pages.pop().done()
             if not tables[-1]:
                 tables[-1].append([])
-            tables[-1][-1].append((cell, _span(node)))
+            tables[-1][-1].append(Cell(cell, _span(node, "colspan"), _span(node, "rowspan")))
         elif tag == "table":
             page.whole_lines(_aligned(tables.pop()))
         elif tag in LISTS:
@@ -283,6 +336,7 @@ def extract_text(pages: DataFrame, html_col: str = "html", text_col: str = "text
     """``pages`` and ``text_col``, the visible text of ``html_col``.
 
     A null or empty page has an empty text; a column of the name ``text_col`` is
-    replaced; broken markup is read as far as it goes; an empty table gives no rows.
+    replaced; broken markup is read as far as it goes; repeated rows are rendered alike; an
+    empty table gives no rows.  Time and text grow with the page's length, whatever its tables.
     """
     return pages.withColumn(text_col, rendered(F.col(html_col)))
