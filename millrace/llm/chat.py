@@ -27,13 +27,16 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     one block, ``<turn>role<text>first<more>second</turn>``, and a line feed.
     ``segments`` (``part, loss``) are the pieces of ``formatted`` in order;
     those under the loss mask are the assistant's texts and nothing else.  A null
-    text or role is empty; null ids form one conversation; repeated rows are
-    repeated turns.  An empty table gives no rows.
+    text or role is empty; a row without an id is a conversation of its own; repeated
+    rows are repeated turns, and ties in turn, role and text are such; other columns are
+    not read.  An empty table gives no rows.
     """
     turn = F.struct(
         F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
-    sorted_turns = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    known = F.col("conv_id").isNotNull()
+    sorted_turns = turns.where(known).groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    sorted_turns = sorted_turns.unionByName(turns.where(~known).select("conv_id", F.array(turn).alias("turns")))
     # Each turn with the roles around it, by shifted copies of the array rather than by index.
     roles = F.col("turns.role")
     nobody = F.array(F.lit(None).cast("string"))

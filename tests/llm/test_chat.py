@@ -16,12 +16,13 @@ def check(spark, turns):
     rows = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
     got = read_back(chat.format_conversations(rows))
     by_conv = {}
-    for conv, turn, role, text in turns:
-        by_conv.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
-    assert len(got) == len(by_conv)
+    for n, (conv, turn, role, text) in enumerate(turns):
+        key = ("alone", n) if conv is None else conv
+        by_conv.setdefault(key, []).append((turn is not None, turn or 0, role or "", text or ""))
+    said = [(None if isinstance(k, tuple) else k, [(r, t) for _, _, r, t in sorted(v)]) for k, v in by_conv.items()]
+    assert sorted(((r["conv_id"], [tuple(x) for x in r["turns"]]) for r in got), key=str) == sorted(said, key=str)
     for row in got:
-        want = [(r, t) for _, _, r, t in sorted(by_conv[row["conv_id"]])]
-        assert [tuple(x) for x in row["turns"]] == want
+        want = [tuple(x) for x in row["turns"]]
         assert row["learned"] == "".join(t for r, t in want if r == "assistant")
         assert "".join(s["part"] for s in row["segments"]) == row["formatted"]
     return got
@@ -54,6 +55,11 @@ def test_very_long_conversation(spark):
     check(spark, [(1, n, "assistant" if n % 3 else "user", f"text {n} <" * 5) for n in range(3000)])
 
 
+def test_extra_columns_are_not_read(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "a", "x", "y")], "conv_id long, turn long, role string, text string, turns string, segments string")
+    assert read_back(chat.format_conversations(rows))[0]["turns"][0]["text"] == "a"
+
+
 def test_empty_table(spark):
     rows = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.format_conversations(rows).collect() == []
