@@ -12,12 +12,12 @@ from millrace.session import scratch_path, use_utc, with_package
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without what the quality rules reject."""
+    """Without what the quality rules reject; equal rows stay or go together."""
     return quality.keep_good(docs)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest id."""
+    """Of equal texts, the row with the largest id; of rows that are alike in both, one."""
     return exact_dedup.drop_copies(docs)
 
 
@@ -27,7 +27,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Three fifths of the tokens, by the weights of domains, languages and sources."""
+    """Three fifths of the tokens, by the weights of domains, languages and sources; rows alike in
+    id and tokens come together or not at all."""
     return mixing.mixed(mixture(docs, docs.columns), docs.columns)
 
 
