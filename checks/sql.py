@@ -391,6 +391,7 @@ SELECT window_start, pane_index,
 FROM ({panes('1 hour', 5)}) GROUP BY 1, 2""",
     "sink_pane_files": pane_bodies("\n"),
     "sink_pane_files_unseparated": pane_bodies(""),
+    "sink_pane_files_named": f"SELECT path AS file, body FROM ({pane_bodies('')})",
     "sink_pane_files_written": f"""
 SELECT strftime(window_start + INTERVAL 1 DAY - INTERVAL 1 MILLISECOND, '{ISO}') AS window_max_ts,
   pane_index, string_agg(props || chr(10), '' ORDER BY ts, event_id) AS body
