@@ -21,10 +21,9 @@ BATCH = [
     "scan_finance_csv", "group_by_key", "group_by_key_hot", "cogroup", "format_cogroup",
     "account_blocks_files", "json_project_schema", "json_project_denylist",
     "json_project_required", "on_error_drop", "sink_table_append", "sink_table_per_window",
-    "win_by_type_nominal", "pane_info", "pane_info_hot", "sink_pane_files", "late_drop",
-    "late_drop_hot",
+    "win_by_type_nominal", "pane_info", "pane_info_hot", "sink_pane_files",
 ]
-STREAMS = ["stream_source", "trig_watermark", "trig_early_count_stream"]
+STREAMS = ["stream_source", "trig_watermark", "trig_early_count_stream", "late_drop", "late_drop_hot"]
 
 
 def timed(run) -> float:
