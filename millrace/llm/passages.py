@@ -213,8 +213,8 @@ def without_repeats(docs: DataFrame, kept_as: Callable[[Column], Column] = lambd
 
     ``spans`` are the maximal repeats that go, in words from 0, end exclusive; ``kept`` are
     the other words joined by a space, or ``kept_as`` of that, such as a digest, which then
-    is all that moves.  Windows are judged on the texts as they come in.  A null text has no
-    words.  Rows of the same id do not take from each other, whether their texts are equal
+    is all that moves.  Ids are whole numbers.  Windows are judged on the texts as they come in.
+    A null text has no words.  Rows of the same id do not take from each other, whether their texts are equal
     or not; a null id comes after all others.  Texts shorter than a window keep all.  Other
     columns are not read; an empty table gives no rows.  Texts are worked on as wholes, so a
     task needs memory for its longest text.
