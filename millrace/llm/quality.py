@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import exact_dedup
-from millrace.llm.shared import settled, text_or_empty, unpacked, words
+from millrace.llm.shared import settled, text_or_empty, unpacked
 
 # The classes of characters, each as a pattern of Java.
 CHAR_CLASSES = {
@@ -46,18 +46,34 @@ PARTS = 1_000_000_000
 STEPS = 10_000
 
 
+def _found(text: Column) -> Column:
+    """The words of a text that is not null."""
+    return F.array_remove(F.split(text, r"[\x20\x09-\x0D]+", -1), "")
+
+
+def _taken(rows: DataFrame, keep: Sequence[str], **more: Column) -> DataFrame:
+    """The columns ``keep`` of ``rows`` (with ``text`` and ``found``), ``more``, and in place of the
+    text what the counts need of it: ``n_words``, ``n_chars``, ``hashed`` (the words), ``left`` (the
+    words put together)."""
+    return rows.select(
+        *keep, F.size("found").cast("long").alias("n_words"), F.length("text").alias("n_chars"),
+        F.transform("found", lambda w: F.xxhash64(w)).alias("hashed"), F.array_join("found", "").alias("left"),
+        *[c.alias(name) for name, c in more.items()],
+    )
+
+
 def _window_hashes(rows: DataFrame) -> DataFrame:
-    """``rows`` (with ``found``) and ``n_words``, ``hashes`` of the three words from each on, ``n_again``,
-    how many of them are there already before."""
-    rows = rows.withColumn("hashed", F.transform("found", lambda w: F.xxhash64(w)))
+    """``rows`` (of ``_taken``) with, in place of ``hashed``, ``hashes`` of the three words from each
+    on, and ``n_again``, how many of them are there already before."""
     # The last two are of fewer words, so they are like no other.
     hashes = F.transform("hashed", lambda h, i: F.xxhash64(h, F.get("hashed", i + 1), F.get("hashed", i + 2)))
-    rows = rows.withColumns({"hashes": hashes, "n_words": F.size("found").cast("long")}).drop("hashed")
+    rows = rows.withColumn("hashes", hashes).drop("hashed")
     return rows.withColumn("n_again", (F.size("hashes") - F.size(F.array_distinct("hashes"))).cast("long"))
 
 
-def _repeat_words(where: Column) -> Column:
-    """How many words are in windows found twice or more, worked out ``where`` that is asked for, else 0.
+def _repeat_words(rows: DataFrame, where: Column) -> DataFrame:
+    """``rows`` (of ``_window_hashes``) with, in place of the hashes, ``n_repeat_words``: how many words
+    are in windows found twice or more, worked out ``where`` that is asked for, else 0.
 
     The hashes alone are sorted first.  Each that has its like next to it sets one of 64
     bits, and only windows whose bit is set are sorted again with their places.
@@ -85,26 +101,28 @@ def _repeat_words(where: Column) -> Column:
             lambda at: at.isNotNull(),
         )
 
-    repeated = _let(_let(_let(F.sort_array("hashes"), bits), suspects), like_a_neighbour)
+    repeated = _let(_let(bits(F.col("in_order")), suspects), like_a_neighbour)
     covered = F.array_distinct(F.flatten(F.transform(repeated, lambda at: F.array(at, at + 1, at + 2))))
-    return F.when(where, F.size(covered)).otherwise(0).cast("long")
+    count = F.when(F.col("in_order").isNotNull(), F.size(covered)).otherwise(0).cast("long")
+    # A column, since inside a lambda the sort would not be compiled.
+    rows = rows.withColumn("in_order", F.when(where, F.sort_array("hashes"))).withColumn("n_repeat_words", count)
+    return rows.drop("hashes", "n_again", "in_order")
 
 
-def base_counts(docs: DataFrame, text_col: str, carry: Sequence[str]) -> DataFrame:
-    """The columns ``carry`` in ``row``, with ``found`` (the words), ``chars`` and the base counts.
+def base_counts(docs: DataFrame, text_col: str, carry: Sequence[str], listed: Sequence[str]) -> DataFrame:
+    """The columns ``carry`` in ``row``, with ``common`` (the words that are ``listed``, in order),
+    ``chars`` and the base counts.
 
     A window of three words is told by a 64-bit hash of the three.
     """
     row = F.struct(*[F.col(c) for c in dict.fromkeys(carry)]).alias("row")
     text = text_or_empty(text_col)
-    rows = docs.select(row, text.alias("text"), words(F.col(text_col)).alias("found"))
-    lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    rows = _char_shares(_window_hashes(rows.withColumn("lines", lines)))
-    rows = rows.select(
-        "row", "found", "n_words", "word_chars", "n_symbols", "n_chars", "chars",
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        _repeat_words(F.col("n_again") > 0).alias("n_repeat_words"),
-    )
+    lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    rows = docs.select(row, text.alias("text"), _found(text).alias("found"), lines.alias("lines"))
+    n_dup_lines = (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long")
+    # The text and its words go no further than here, for each further step would copy them.
+    rows = _taken(rows, ["row"], n_dup_lines=n_dup_lines, common=_common(listed))
+    rows = _char_shares(_repeat_words(_window_hashes(rows), F.col("n_again") > 0))
     return rows.withColumn("base_failed", _base_failed())
 
 
@@ -113,50 +131,50 @@ def _base_failed() -> Column:
 
 
 def _char_shares(rows: DataFrame) -> DataFrame:
-    """``rows`` (with ``text`` and ``found``) with ``chars``: ``kind, bin, share`` of each class of
-    characters; and ``n_chars``, ``word_chars``, ``n_symbols``."""
-    length = F.length("text")
+    """``rows`` (of ``_taken``) with, in place of ``left``, ``chars``: ``kind, bin, share`` of each
+    class of characters; ``word_chars``, ``n_symbols``."""
     # What is not in words is space.  Class after class is taken out of the words put
     # together, so that each pattern meets few and long stretches of only what is left.
-    rest = rows.withColumn("left", F.array_join("found", "")).withColumn("word_chars", F.length("left").cast("long"))
-    sizes = {"space": length - F.col("word_chars")}
-    left = F.col("left")
-    for n, (name, pattern) in enumerate(CHAR_CLASSES.items()):
+    left = F.length("left")
+    rows = rows.withColumns({"word_chars": left.cast("long"), "n_space": F.col("n_chars") - left})
+    for name, pattern in CHAR_CLASSES.items():
         if name == "space":
             continue
         if name == "other_ascii":
             # All symbols are in this class; none was taken out before.
-            without = F.regexp_replace(left, SYMBOLS, "")
-            rest = rest.withColumn("n_symbols", (F.length(left) - F.length(without)).cast("long"))
-        rest = rest.withColumn(f"left{n}", F.regexp_replace(left, pattern, ""))
-        sizes[name] = F.length(left) - F.length(f"left{n}")
-        left = F.col(f"left{n}")
-    sizes["other"] = F.length(left)
+            without = F.length(F.regexp_replace("left", SYMBOLS, ""))
+            rows = rows.withColumn("n_symbols", (left - without).cast("long"))
+        rows = rows.withColumn("less", F.regexp_replace("left", pattern, ""))
+        rows = rows.withColumn(f"n_{name}", left - F.length("less")).drop("left").withColumnRenamed("less", "left")
+    sizes = {name: F.col(f"n_{name}") for name in CHAR_CLASSES} | {"other": left}
     chars = F.array(*[
-        F.struct(F.lit("char").alias("kind"), F.lit(name).alias("bin"), F.try_divide(size, length).alias("share"))
+        F.struct(F.lit("char").alias("kind"), F.lit(name).alias("bin"), F.try_divide(size, F.col("n_chars")).alias("share"))
         for name, size in sizes.items()
     ])
     nothing = F.slice(chars, F.lit(1), F.lit(0))
-    rest = rest.withColumns({"chars": F.when(length > 0, chars).otherwise(nothing), "n_chars": length})
-    return rest.drop("left", *[f"left{n}" for n in range(len(CHAR_CLASSES))])
+    rows = rows.withColumn("chars", F.when(F.col("n_chars") > 0, chars).otherwise(nothing))
+    return rows.drop("left", *[f"n_{name}" for name in CHAR_CLASSES])
 
 
-def histograms(rows: DataFrame, listed: Sequence[str]) -> DataFrame:
+def _common(listed: Sequence[str]) -> Column:
+    """Those of the words ``found`` that are ``listed``, in lower case and in order."""
+    longest = max(map(len, listed), default=0) + 1  # lower case may be a character longer, or shorter
+    return F.sort_array(F.transform(
+        F.filter("found", lambda w: (F.length(w) <= longest) & F.lower(w).isin(list(listed))), F.lower
+    ))
+
+
+def histograms(rows: DataFrame) -> DataFrame:
     """``rows`` (of ``base_counts``) with ``bins``: for each kind (char, word) and bin its share of the kind.
 
-    The word bins are the ``listed`` words, of all languages, and all others together.
+    The word bins are the listed words, of all languages, and all others together.
     """
-    longest = max(map(len, listed), default=0) + 1  # lower case may be a character longer, or shorter
-    common = F.transform(
-        F.filter("found", lambda w: (F.length(w) <= longest) & F.lower(w).isin(list(listed))), F.lower
-    )
-    rest = rows.withColumn("common", F.sort_array(common))
     size = F.size("common")
     starts = F.filter(
         F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.expr("array()").cast("array<int>")),
         lambda i: (i == 0) | (F.get("common", i) != F.get("common", i - 1)),
     )
-    rest = rest.withColumn("starts", starts)
+    rest = rows.withColumn("starts", starts)
     of_listed = F.transform(
         "starts",
         lambda i, k: F.struct(
@@ -198,14 +216,14 @@ def _sums(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     distinct = exact_dedup.drop_copies(pairs, "lang", "pair")
     start = F.length("lang") + F.length(F.length("lang").cast("string")) + 2
     rows = distinct.select("lang", F.substr("pair", start).alias("text"))
-    rows = _window_hashes(rows.withColumn("found", words(F.col("text"))))
+    rows = _window_hashes(_taken(rows.withColumn("found", _found(F.col("text"))), ["lang", "found"]))
     # A window that is there again puts up to three words, and those of the first such one, into
     # the count; so only where there are many can a rule fail.
-    rows = rows.withColumn("n_repeat_words", _repeat_words(100 * 6 * F.col("n_again") > 50 * F.col("n_words")))
+    rows = _repeat_words(rows, 100 * 6 * F.col("n_again") > 50 * F.col("n_words"))
     # The row number keeps the filter where it is: pushed down, it would work out
     # every column that it rests on again, once for each mention.
     numbered = rows.withColumns({"failed": _base_failed(), "at": F.monotonically_increasing_id()})
-    rows = _char_shares(numbered.where(~F.col("failed") & (F.col("at") >= 0)).select("lang", "text", "found", "n_words"))
+    rows = _char_shares(numbered.where(~F.col("failed") & (F.col("at") >= 0)).select("lang", "found", "n_words", "n_chars", "left"))
 
     # No word begins with a space: so do the names of what is counted and not a word.
     counted = F.transform("chars", lambda c: F.concat_ws(
@@ -285,8 +303,8 @@ def _distance(met: Column, language: int) -> Column:
     """
     def term(total: Column, b: Column) -> Column:
         p, q = b["share"], b["theirs"][language]
-        q_term = F.when(q > 0, q * F.log2(2 * q / (p + q))).otherwise(F.lit(0.0))
-        return total + p * F.log2(2 * p / (p + q)) + q_term - q
+        both = p * F.log2(2 * p / (p + q)) + q * F.log2(2 * q / (p + q)) - q
+        return total + F.when(q > 0, both).otherwise(p)
 
     return F.aggregate(met, F.lit(1.0), term, lambda total: F.sqrt(F.greatest(F.lit(0.0), total / 2)))
 
@@ -338,7 +356,7 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
 
 def _measured(docs: DataFrame, text_col: str, carry: Sequence[str], found: References) -> DataFrame:
-    return histograms(base_counts(docs, text_col, carry), found.listed).drop("found")
+    return histograms(base_counts(docs, text_col, carry, found.listed))
 
 
 def _verdicts(rows: DataFrame, found: References, lang: Column) -> DataFrame:
