@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.windows import window_max_ts
+from millrace.session import setting
 from millrace.sinks.commits import BATCH_COLUMN, append_once
 
 TABLE_COLUMN = "table_name"
+#: Up to so many outputs a task keeps open instead of sorting its rows by output.
+OPEN_OUTPUTS = 16
 _NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -22,8 +25,13 @@ def write_text(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def write_outputs(tagged: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """``(output, value)`` rows, one folder of text files per output."""
-    tagged.select("output", "value").write.mode(mode).partitionBy("output").text(path)
+    """``(output, value)`` rows, one folder of text files per output.
+
+    A task has a file of each output open, so its rows are neither sorted nor spilled.
+    Those of an output beyond the first ``OPEN_OUTPUTS`` are sorted.
+    """
+    with setting(tagged.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_OUTPUTS)):
+        tagged.select("output", "value").write.mode(mode).partitionBy("output").text(path)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 
 from millrace.operators import words
 from millrace.plans import word_report
-from millrace.sinks.files import write_text
+from millrace.sinks.files import write_outputs, write_text
 
 
 def _lines(spark, *texts):
@@ -63,6 +63,19 @@ def test_report_files(spark, tmp_path):
     ]
 
 
+def test_outputs_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    before = spark.conf.get(name)
+    tagged = words.word_outputs_tagged(words.tokenize(_lines(spark, "a bbb", "cc")))
+    kind = type(tagged.write)
+    text = kind.text
+    monkeypatch.setattr(kind, "text", lambda self, *args: (seen.append(int(spark.conf.get(name))), text(self, *args)))
+    write_outputs(tagged, str(tmp_path / "out"))
+    assert seen and seen[0] >= 3  # Spark sorts by output unless so many files may be open
+    assert spark.conf.get(name) == before
+    assert spark.read.text(str(tmp_path / "out")).count() == 6
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(texts=st.lists(st.text(alphabet="abZ' \n\t-9\u00e9\u4e2d\U0001f600.", max_size=40), min_size=1, max_size=50))
 def test_any_text(spark, texts):
