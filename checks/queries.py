@@ -40,7 +40,7 @@ from millrace.plans import account_blocks, fixed_tables, pane_files, window_tabl
 from millrace.session import scratch_path
 from millrace.sinks import files
 from millrace.sinks.commits import appended
-from millrace.sinks.pane_format import write_named_files
+from millrace.sinks.pane_format import read_named_files, write_named_files
 from millrace.sources import message_log
 from millrace.sources.layout import spread_small
 from millrace.sources.schema import load_schema, schema_from_json
@@ -583,22 +583,13 @@ def sink_pane_files_unseparated(spark, sf_dir):
     return panes.pane_files(_panes(spark, sf_dir), "props", "requests", ["ts", "event_id"], separator="")
 
 
-def _files(spark: SparkSession, root: str) -> DataFrame:
-    """The name below ``root`` and the text of every file."""
-    read = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    name = F.substring_index("path", root.removeprefix("file:"), -1)
-    return read.select(
-        F.url_decode(F.ltrim(name, F.lit("/"))).alias("file"), F.col("content").cast("string").alias("body")
-    )
-
-
 @query
 def sink_pane_files_named(spark, sf_dir):
     """The pane files under their own names, their elements back to back."""
     path = scratch_path(spark, "panes")
     named = _panes(spark, sf_dir).withColumn("file", pane_path("requests", F.col("window")["end"], F.col("pane_index")))
     write_named_files(named, path, "file", "props", ["ts", "event_id"])
-    return _files(spark, path)
+    return read_named_files(spark, path)
 
 
 @query
@@ -797,7 +788,7 @@ def pane_files_stream(spark, sf_dir):
             allowed_lateness_ms=DAY_MS, pane_elements=20, late_delay_ms=NEVER_MS, shards=_shard_of(), order=["event_id"],
         )
 
-    return _files(spark, f"{replay(spark, sf_dir, start, late=True)}/files").where("body <> '-1;'")
+    return read_named_files(spark, f"{replay(spark, sf_dir, start, late=True)}/files").where("body <> '-1;'")
 
 
 # -- keys -----------------------------------------------------------------------------
