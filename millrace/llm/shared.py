@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import scratch_path, settled
+from millrace.session import scratch_path, settled, settled_at
 
 # Fixed value: what stands between words.
 _SPACES = r"[\x20\x09-\x0D]+"
@@ -27,9 +27,7 @@ class Workspace:
     def settled(self, df: DataFrame) -> DataFrame:
         """As ``settled``, below the folder."""
         self._tables += 1
-        path = f"{self._path}/{self._tables}"
-        df.write.parquet(path)
-        return self._spark.read.schema(df.schema).parquet(path)
+        return settled_at(df, f"{self._path}/{self._tables}")
 
     def drop(self) -> None:
         """Deletes the folder; nothing that still reads a table of it may follow."""

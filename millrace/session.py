@@ -13,6 +13,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
+_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -77,7 +78,16 @@ def settled(df: DataFrame) -> DataFrame:
     only the columns it uses, and has its true size known to the planner, which
     broadcasts it below ``spark.sql.autoBroadcastJoinThreshold`` and not above.
     """
+    return settled_at(df, scratch_path(df.sparkSession, "settled"))
+
+
+def settled_at(df: DataFrame, path: str) -> DataFrame:
+    """As ``settled``, at a path.
+
+    What the write has shuffled is deleted as soon as the table is there, and not when
+    the driver next collects garbage; so a job of many steps has the disk of one.
+    """
     spark = df.sparkSession
-    path = scratch_path(spark, "settled")
-    df.write.parquet(path)
+    with setting(spark, _CLEANUP_CONF, "true"):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
