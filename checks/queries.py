@@ -597,10 +597,12 @@ def sink_pane_files_written(spark, sf_dir):
     path = scratch_path(spark, "panes")
     cut = panes.assign_panes(events(spark, sf_dir), "ts", days(1), 100, ["event_id"])
     files.write_pane_files(cut, path, "props", ["ts", "event_id"])
-    return spark.read.text(path, wholetext=True).select(
-        F.date_format("window_max_ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("window_max_ts"),
-        F.col("pane_index").cast("bigint"),
-        F.col("value").alias("body"),
+    # window_max_ts=<last millisecond>/pane_index=<n>/part-..
+    folder = F.split("file", "/")
+    return read_named_files(spark, path).select(
+        F.url_decode(F.substring_index(folder[0], "=", -1)).alias("window_max_ts"),
+        F.substring_index(folder[1], "=", -1).cast("bigint").alias("pane_index"),
+        "body",
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -11,11 +12,13 @@ from pyspark.sql import types as T
 
 from millrace.functions.windows import window_max_ts
 from millrace.session import setting
-from millrace.sinks.commits import BATCH_COLUMN, append_once
+from millrace.sinks.commits import BATCH_COLUMN, append_once, delete, exists
+from millrace.sinks.pane_format import write_named_files
 
 TABLE_COLUMN = "table_name"
 #: Up to so many outputs a task keeps open instead of sorting its rows by output.
 OPEN_OUTPUTS = 16
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 _NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -104,23 +107,28 @@ def write_pane_files(
     see ``write_pane_bodies``.
 
     A pane is the unit of the shuffle and has a bounded size, so nothing is
-    collected: the file is written as its rows arrive, in ``order``.
+    collected: the file is written as its rows arrive, in ``order``, and put in its
+    folder by a task, so that the driver does nothing for a single pane.
     """
-    located = panes.select(
-        window_max_ts(F.col("window")["end"]).alias("window_max_ts"),
-        "pane_index",
-        F.col(payload).alias("_payload"),
-        F.struct(*order).alias("_order"),
-    )
-    (
-        located.repartition("window_max_ts", "pane_index")
-        .sortWithinPartitions("window_max_ts", "pane_index", "_order")
-        .select("window_max_ts", "pane_index", F.col("_payload").alias("value"))
-        .write.mode(mode)
-        .option("lineSep", separator)
-        .partitionBy("window_max_ts", "pane_index")
-        .text(path)
-    )
+    spark, mode = panes.sparkSession, mode.lower()
+    if mode not in ("append", "overwrite", "ignore", "error", "errorifexists", "default"):
+        raise ValueError(f"no such mode: {mode}")
+    nothing = spark.createDataFrame([], "window_max_ts string, pane_index long, value string")
+    marked = nothing.write.partitionBy("window_max_ts", "pane_index")
+    if mode != "append" and exists(spark, path):
+        if mode == "ignore":
+            return
+        if mode == "overwrite" and spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "dynamic":
+            raise ValueError("pane files are overwritten as a whole: set spark.sql.sources.partitionOverwriteMode to static")
+        marked.mode(mode).text(path)  # deletes what is there, or complains of it
+        delete(spark, f"{path}/_SUCCESS")
+    # As Spark names the folders of partitions, where a colon is escaped.
+    at = {"window_max_ts": F.replace(window_max_ts(F.col("window")["end"]), F.lit(":"), F.lit("%3A")),
+          "pane_index": F.col("pane_index").cast("string")}
+    folder = [F.concat(F.lit(f"{n}="), F.coalesce(c, F.lit(_NULL_FOLDER))) for n, c in at.items()]
+    name = F.concat_ws("/", *folder, F.lit(f"part-{uuid.uuid4().hex}.txt")).alias("_file")
+    write_named_files(panes.select("*", name), path, "_file", payload, order, separator)
+    marked.mode("append").text(path)
 
 
 def write_pane_bodies(files: DataFrame, path: str, mode: str = "errorifexists") -> None:

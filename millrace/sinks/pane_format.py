@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
@@ -147,7 +147,7 @@ class NamedFiles(DataSource):
         return _Writer(self.options["path"], self.options.get("separator", ""), self.options["staging"])
 
 
-def write_named_files(rows: DataFrame, path: str, file: str, value: str, order: Sequence[str] = (),
+def write_named_files(rows: DataFrame, path: str, file: str, value: str, order: Sequence[str | Column] = (),
                       separator: str = "") -> None:
     """The texts in ``value`` to the file below ``path`` that ``file`` says, in ``order``,
     ``separator`` after each.

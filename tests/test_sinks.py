@@ -1,12 +1,14 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.windows import minutes
 from millrace.operators import panes
-from millrace.session import scratch_path, shared_root
+from millrace.session import scratch_path, settled, shared_root
 from millrace.sinks import commits, files
-from millrace.sinks.pane_format import write_named_files
+from millrace.sinks.pane_format import read_named_files, write_named_files
 from millrace.sources.layout import spread_small
 from conftest import BASE_S
 
@@ -143,3 +145,77 @@ def test_only_a_small_scan_is_spread(spark, tmp_path):
     assert spread_small(spark.read.parquet(str(tmp_path / "small"))).rdd.getNumPartitions() == 4
     many = spark.read.parquet(str(tmp_path / "many"))
     assert spread_small(many) is many
+
+
+def _named(spark, n):
+    return spark.range(n).select(F.format_string("p/%02d/%s", F.col("id") % 3, F.concat(F.lit("%3A +:"), "id")).alias("file"),
+                                 F.concat(F.lit("é"), F.col("id").cast("string")).alias("text"))
+
+
+def test_named_files_are_read_by_their_names(spark, tmp_path):
+    write_named_files(_named(spark, 30), str(tmp_path / "f"), "file", "text")
+    (tmp_path / "f" / "_hidden").mkdir()
+    (tmp_path / "f" / "_hidden" / "x").write_text("no")
+    (tmp_path / "f" / "top").write_text("")
+    got = {tuple(r) for r in read_named_files(spark, str(tmp_path / "f")).collect()}
+    assert got == {tuple(r) for r in _named(spark, 30).collect()} | {("top", "")}
+
+
+def test_the_driver_does_not_learn_the_names_of_files(spark, tmp_path):
+    import pickle
+
+    import pyarrow as pa
+
+    from millrace.sinks import pane_format
+
+    sizes = []
+    for n in (10, 1000):
+        rows = pa.RecordBatch.from_pydict({"file": [f"f{i:05}" for i in range(n)], "value": ["x"] * n})
+        sizes.append(len(pickle.dumps(pane_format.NamedFiles(
+            {"path": str(tmp_path / str(n)), "staging": "_s"}).writer(None, False).write(iter([rows])))))
+    assert sizes[0] == sizes[1]
+
+
+def test_pane_files_modes_and_folders_as_spark_names_them(spark, tmp_path):
+    df = spark.range(6).select(F.col("id").cast("string").alias("payload"), F.timestamp_seconds(BASE_S + F.col("id")).alias("ts"))
+    cut, path = panes.assign_panes(df, "ts", minutes(5), 4), str(tmp_path / "p")
+
+    def files_now():
+        return sorted((str(p.parent.relative_to(path)), p.read_text()) for p in (tmp_path / "p").rglob("part-*"))
+
+    once = [(f"window_max_ts=2024-01-01T00%3A04%3A59.999Z/pane_index={i}", t) for i, t in ((0, "0,1,2,3,"), (1, "4,5,"))]
+    files.write_pane_files(cut, path, "payload", ["ts"], separator=",")
+    assert files_now() == once and (tmp_path / "p" / "_SUCCESS").exists()
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        files.write_pane_files(cut, path, "payload", ["ts"], separator=",")
+    files.write_pane_files(cut, path, "payload", ["ts"], "ignore", ",")
+    assert files_now() == once
+    files.write_pane_files(cut, path, "payload", ["ts"], "append", ",")
+    assert files_now() == sorted(once * 2)
+    files.write_pane_files(cut, path, "payload", ["ts"], "overwrite", ",")
+    assert files_now() == once
+    assert spark.read.text(path).select("pane_index").distinct().count() == 2
+
+
+def test_pane_files_are_not_committed_by_the_driver(spark, tmp_path, monkeypatch):
+    moved = []
+    monkeypatch.setattr(files, "write_named_files", lambda *args: moved.append(args))
+    df = spark.range(6).select(F.col("id").cast("string").alias("payload"), F.timestamp_seconds(BASE_S + F.col("id")).alias("ts"))
+    files.write_pane_files(panes.assign_panes(df, "ts", minutes(5), 4), str(tmp_path / "p"), "payload", ["ts"])
+    assert len(moved) == 1
+
+
+def test_a_settled_table_leaves_no_shuffle_behind(spark):
+    def shuffled():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {name for name in found.split("\n") if "shuffle_" in name}
+
+    before = shuffled()
+    assert settled(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()).count() == 7
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    # The count after it may leave its own, which is one row a task.
+    names = shuffled() - before
+    assert len({n.rpartition("/")[2].split("_")[1] for n in names}) <= 1
