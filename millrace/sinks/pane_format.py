@@ -181,10 +181,11 @@ def _hidden(path: str) -> bool:
 
 
 def _listed(root: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What is in each folder, by its path below ``root``."""
+    """What is in each folder, by its path below ``root``, but for empty files."""
     files, base = _open(root)
     for folder in (f for batch in batches for f in batch["path"].to_pylist()):
-        met = [i for i in files.get_file_info(fs.FileSelector(f"{base}/{folder}")) if not _hidden(i.path)]
+        met = files.get_file_info(fs.FileSelector(f"{base}/{folder}"))
+        met = [i for i in met if not _hidden(i.path) and (i.type == fs.FileType.Directory or i.size)]
         for at in range(0, len(met), _BATCH_ROWS):
             some = met[at : at + _BATCH_ROWS]
             paths = [f"{folder}/{i.path.rpartition('/')[2]}".lstrip("/") for i in some]
@@ -211,7 +212,8 @@ def _contents(root: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
 
 def read_named_files(spark: SparkSession, path: str) -> DataFrame:
-    """``file``, the name below ``path``, and ``body``, the text, of every file there.
+    """``file``, the name below ``path``, and ``body``, the text, of every file there that
+    is not empty; Spark's readers pass over empty ones too.
 
     Folders are listed by tasks, a level at a time, and the lists are tables; the driver
     learns only whether there is another level.
